@@ -54,6 +54,21 @@ def margin(words: Column, model: LinearModel) -> Column:
     )
 
 
+def mean_weight(words: Column, model: LinearModel) -> Column:
+    """Margin per word, in one pass over the words; the bare intercept without words."""
+    start = F.struct(
+        F.lit(float(model.intercept)).alias("total"), F.lit(0).cast("bigint").alias("n")
+    )
+
+    def add(state: Column, word: Column) -> Column:
+        weight = F.coalesce(lookup(word, model.weights), F.lit(0.0))
+        return F.struct((state["total"] + weight).alias("total"), (state["n"] + 1).alias("n"))
+
+    return F.aggregate(
+        words, start, add, lambda state: state["total"] / F.greatest(state["n"], F.lit(1))
+    )
+
+
 def decision(score: Column) -> Column:
     """1 for a margin above 0, else 0; a message without a known term is negative at intercept 0."""
     return F.when(score > 0, 1).otherwise(0)
@@ -145,12 +160,15 @@ def draw_numbers(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(n).withColumnRenamed("id", "draw")
 
 
-def replay(corpus: DataFrame, idx: str, draws: DataFrame) -> DataFrame:
+def replay(
+    corpus: DataFrame, numbers: DataFrame, draws: DataFrame, key: str = "id", idx: str = "idx"
+) -> DataFrame:
     """One message of a corpus per draw, with replacement.
 
-    The corpus has dense numbers 0..n-1, see `numbered`. A draw number is hashed to one of them, so a
-    repeated or lost task draws the same messages again.
+    `numbers` gives every corpus key a dense number 0..n-1, see `numbered`; texts are joined last. A
+    draw number is hashed to a row number, so a repeated or lost task draws the same messages again.
     """
     size = corpus.agg(F.count("*")).scalar()
     row = F.floor(hash_share(F.col("draw")) * size).cast("bigint")
-    return draws.select("draw", row.alias(idx)).join(corpus, idx)
+    picked = draws.select("draw", row.alias(idx)).join(numbers.select(key, idx), idx)
+    return picked.drop(idx).join(corpus, key)

@@ -36,10 +36,16 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
     return english(spark, folder).select(F.col("id").alias("doc_id"), "text")
 
 
-def arrivals(spark: SparkSession, folder: str) -> DataFrame:
-    """Events with the document they carry and the batch they fall into."""
+def arrivals(spark: SparkSession, folder: str, since: Column | None = None) -> DataFrame:
+    """Events with the document they carry and the batch they fall into.
+
+    `since` is the start of a batch. It filters the raw time, so it reaches the Parquet scan.
+    """
     documents = table(spark, folder, "documents").agg(F.count("*")).scalar()
-    return table(spark, folder, "events").select(
+    events = table(spark, folder, "events")
+    if since is not None:
+        events = events.filter(F.col("ts") >= since)
+    return events.select(
         "event_id",
         "ts",
         "user_id",
@@ -48,10 +54,14 @@ def arrivals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def copies(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, batch_ts, copies): a document that floods a batch becomes one row."""
+def copies(spark: SparkSession, folder: str, since: Column | None = None) -> DataFrame:
+    """(doc_id, batch_ts, copies): a document that floods a batch becomes one row.
+
+    The counts are combined in the map tasks. A document that makes up a third of all events is left
+    with one row per batch, so it cannot outweigh the others in the joins that follow.
+    """
     return (
-        arrivals(spark, folder)
+        arrivals(spark, folder, since)
         .groupBy("doc_id", "batch_ts")
         .agg(F.count("*").alias("copies"))
     )
@@ -62,16 +72,16 @@ def newest_copies(spark: SparkSession, folder: str, n: int, having: Column) -> D
 
     The oldest of these batches is found from keys alone, before any text is tokenised.
     """
-    arrived = copies(spark, folder)
     useful = texts(spark, folder).filter(having).select("doc_id")
     newest = (
-        arrived.join(useful, "doc_id", "left_semi")
+        copies(spark, folder)
+        .join(useful, "doc_id", "left_semi")
         .select("batch_ts")
         .distinct()
         .orderBy(F.desc("batch_ts"))
         .limit(n)
     )
-    return arrived.filter(F.col("batch_ts") >= newest.agg(F.min("batch_ts")).scalar())
+    return copies(spark, folder, since=newest.agg(F.min("batch_ts")).scalar())
 
 
 def newest_word_copies(spark: SparkSession, folder: str, n: int) -> DataFrame:

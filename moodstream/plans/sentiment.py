@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from moodstream.functions.scores import polarity, polarity_colour
 from moodstream.functions.text import feature_tokens
-from moodstream.operators.model import LinearModel, score_by_join, score_messages
+from moodstream.operators.model import LinearModel, mean_weight, score_by_join, score_messages
 from moodstream.operators.ranking import numbered, trailing_sum
 from moodstream.operators.sentiment import (
     axis_bounds,
@@ -44,6 +44,9 @@ LEXICON = {
     "free": 0.75,
     "help": 0.5,
     "the": 0.125,
+    "this": 0.25,
+    "with": 0.5,
+    "thing": 0.75,
     "bad": -1.0,
     "wrong": -1.25,
     "worst": -1.5,
@@ -55,6 +58,8 @@ LEXICON = {
     "no": -0.5,
     "never": -0.75,
     "of": -0.25,
+    "from": -0.375,
+    "than": -0.5,
     "pseudoplaceholder": -0.125,
     "hashtagplaceholder": 0.375,
     "linkplaceholder": -0.375,
@@ -142,9 +147,8 @@ def linear_score_join(spark: SparkSession, folder: str) -> DataFrame:
 )
 def score_polarity(spark: SparkSession, folder: str) -> DataFrame:
     """Mean word weight of every English message as positive, neutral or negative."""
-    scored = score_messages(english(spark, folder), MODEL)
-    words = F.greatest(F.size(feature_tokens(F.col("text"))), F.lit(1))
-    return scored.select("id", (F.col("margin") / words).alias("score")).select(
+    score = mean_weight(feature_tokens(F.col("text")), MODEL)
+    return english(spark, folder).select("id", score.alias("score")).select(
         "id",
         "score",
         polarity(F.col("score")).alias("polarity"),

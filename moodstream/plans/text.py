@@ -17,7 +17,7 @@ from moodstream.sources.payload import decode_payload as decode
 from moodstream.sources.payload import encode_payload, payload_text, with_defaults
 from moodstream.sources.readers import split_bad_labels, split_labelled_lines, table
 
-SUBJECTS = "water,people,@"
+SUBJECTS = "great,Under,@"
 FIRST = 100
 
 
@@ -112,7 +112,7 @@ def english_nonempty(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    SELECT lang, count(*) AS cnt, count_if(text = '') AS empty_texts
+    SELECT lang, count(*) AS cnt, CAST(count_if(text = '') AS BIGINT) AS empty_texts
     FROM (SELECT coalesce(CASE WHEN doc_id % 7 <> 0 THEN lang END, '') AS lang,
                  coalesce(CASE WHEN doc_id % 5 <> 0 THEN text END, '') AS text FROM documents)
     GROUP BY lang
@@ -139,7 +139,7 @@ def missing_fields(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """
     SELECT doc_id AS id, lang, text FROM documents
-    WHERE contains(lower(text), 'water') OR contains(lower(text), 'people')
+    WHERE contains(lower(text), 'great') OR contains(lower(text), 'under')
        OR contains(lower(text), '@')
     """
 )

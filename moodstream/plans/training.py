@@ -93,6 +93,6 @@ def train_and_confuse(spark: SparkSession, folder: str) -> DataFrame:
 def replay_sample(spark: SparkSession, folder: str) -> DataFrame:
     """As many draws with replacement from the documents as there are events."""
     documents = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
-    corpus = numbered(documents, F.col("id"), F.floor(F.col("id") / 65536))
+    numbers = numbered(documents.select("id"), F.col("id"), F.floor(F.col("id") / 65536))
     draws = table(spark, folder, "events").select(F.col("event_id").alias("draw"))
-    return replay(corpus, "idx", draws).select("draw", "id", "text")
+    return replay(documents, numbers, draws).select("draw", "id", "text")
