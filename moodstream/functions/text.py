@@ -33,10 +33,22 @@ def with_placeholders(
     Retweet marks go first and links last, so a link's fragment has already become a hashtag
     term when the link pattern runs and is absorbed by it.
     """
-    text = F.regexp_replace(text, retweet, RETWEET_TERM)
-    text = F.regexp_replace(text, mention, MENTION_TERM)
-    text = F.regexp_replace(text, hashtag, HASHTAG_TERM)
-    return F.regexp_replace(text, link, LINK_TERM)
+    replaced = F.regexp_replace(text, retweet, RETWEET_TERM)
+    replaced = F.regexp_replace(replaced, mention, MENTION_TERM)
+    replaced = F.regexp_replace(replaced, hashtag, HASHTAG_TERM)
+    replaced = F.regexp_replace(replaced, link, LINK_TERM)
+    if (retweet, mention, hashtag, link) != (
+        RETWEET_PATTERN,
+        MENTION_PATTERN,
+        HASHTAG_PATTERN,
+        LINK_PATTERN,
+    ):
+        return replaced
+    # A text without any of these marks cannot match; looking for bytes is far cheaper than matching.
+    marked = F.lit(False)
+    for mark in ("@", "#", "rt:", "http"):
+        marked = marked | F.contains(text, F.lit(mark))
+    return F.when(marked, replaced).otherwise(text)
 
 
 def tokens(text: Column, word: str = WORD_PATTERN) -> Column:

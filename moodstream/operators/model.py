@@ -121,11 +121,15 @@ def split_at_random(frame: DataFrame, seed: int | None = None, train: float = 0.
 
 
 def train_model(
-    points: DataFrame, max_iter: int = 100, reg: float = 0.01
+    points: DataFrame, max_iter: int = 100, reg: float = 0.01, tol: float = 1e-4
 ) -> LogisticRegressionModel:
-    """Logistic regression with L2 penalty and without intercept on raw counts."""
+    """Logistic regression with L2 penalty and without intercept on raw counts.
+
+    Each iteration is one distributed sum over the points, which the estimator keeps persisted.
+    """
     return LogisticRegression(
         maxIter=max_iter,
+        tol=tol,
         regParam=reg,
         elasticNetParam=0.0,
         fitIntercept=False,

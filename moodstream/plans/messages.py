@@ -31,6 +31,18 @@ def english(spark: SparkSession, folder: str) -> DataFrame:
     return keep_messages(messages(spark, folder))
 
 
+def spread(frame: DataFrame, key: str = "id") -> DataFrame:
+    """Deal a scanned table out by a unique key if its scan has too few tasks for the cluster.
+
+    One row group is read by one task, however many cores wait. Taking texts apart costs more than
+    moving them, so such a table is spread first. A table with enough row groups is left alone.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    if 2 * frame.rdd.getNumPartitions() > cores:
+        return frame
+    return frame.repartition(cores, key)
+
+
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, text) of non-empty English messages."""
     return english(spark, folder).select(F.col("id").alias("doc_id"), "text")

@@ -22,6 +22,7 @@ from moodstream.plans.messages import (
     english,
     newest_message_copies,
     placeholders_sql,
+    spread,
     texts,
     tokens_sql,
 )
@@ -109,13 +110,14 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
 
     Scoring needs one pass over the texts and no shuffle; only (doc_id, prediction) is joined.
     """
-    scored = score_messages(texts(spark, folder), MODEL).select("doc_id", "prediction")
+    scored = score_messages(spread(texts(spark, folder), "doc_id"), MODEL).select("doc_id", "prediction")
     return copies(spark, folder).join(scored, "doc_id").drop("doc_id")
 
 
 def newest_history(spark: SparkSession, folder: str, n: int) -> DataFrame:
     """Sentiment history of the n newest batches; only texts that arrived in them are scored."""
-    arrived = newest_message_copies(spark, folder, n).join(texts(spark, folder), "doc_id")
+    carried = spread(texts(spark, folder), "doc_id")
+    arrived = newest_message_copies(spark, folder, n).join(carried, "doc_id")
     scored = score_messages(arrived, MODEL).select("batch_ts", "copies", "prediction")
     return recent_history(sentiment_history(scored, copies=F.col("copies")), n)
 
@@ -123,14 +125,14 @@ def newest_history(spark: SparkSession, folder: str, n: int) -> DataFrame:
 @query(f"WITH {ENGLISH_SQL}, {scored_sql('english')} SELECT id, margin, prediction FROM scored")
 def linear_score(spark: SparkSession, folder: str) -> DataFrame:
     """Margin and prediction of every English message, within the row."""
-    return score_messages(english(spark, folder), MODEL).select("id", "margin", "prediction")
+    return score_messages(spread(english(spark, folder)), MODEL).select("id", "margin", "prediction")
 
 
 @query(f"WITH {ENGLISH_SQL}, {scored_sql('english')} SELECT id, margin, prediction FROM scored")
 def linear_score_join(spark: SparkSession, folder: str) -> DataFrame:
     """The same with the weights as a table."""
     weights = spark.createDataFrame(list(LEXICON.items()), "term string, weight double")
-    return score_by_join(english(spark, folder), weights, max_terms=len(LEXICON))
+    return score_by_join(spread(english(spark, folder)), weights, max_terms=len(LEXICON))
 
 
 @query(
@@ -148,7 +150,7 @@ def linear_score_join(spark: SparkSession, folder: str) -> DataFrame:
 def score_polarity(spark: SparkSession, folder: str) -> DataFrame:
     """Mean word weight of every English message as positive, neutral or negative."""
     score = mean_weight(feature_tokens(F.col("text")), MODEL)
-    return english(spark, folder).select("id", score.alias("score")).select(
+    return spread(english(spark, folder)).select("id", score.alias("score")).select(
         "id",
         "score",
         polarity(F.col("score")).alias("polarity"),

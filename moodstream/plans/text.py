@@ -10,6 +10,7 @@ from moodstream.plans.messages import (
     english,
     messages,
     placeholders_sql,
+    spread,
     tokens_sql,
 )
 from moodstream.plans.registry import query
@@ -157,7 +158,7 @@ def limit_n(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"SELECT doc_id AS id, {placeholders_sql('text')} AS text FROM documents")
 def placeholder_text(spark: SparkSession, folder: str) -> DataFrame:
     """Placeholders in message texts."""
-    return messages(spark, folder).select("id", with_placeholders(F.col("text")).alias("text"))
+    return spread(messages(spark, folder)).select("id", with_placeholders(F.col("text")).alias("text"))
 
 
 @query(
@@ -183,7 +184,7 @@ def placeholder_links(spark: SparkSession, folder: str) -> DataFrame:
 def tokenize(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every message, in order."""
     return (
-        messages(spark, folder)
+        spread(messages(spark, folder))
         .select("id", tokens(F.col("text")).alias("words"))
         .select(
             "id",
@@ -202,7 +203,7 @@ def tokenize(spark: SparkSession, folder: str) -> DataFrame:
 def tokenize_features(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every message after placeholders, as the model sees them."""
     return (
-        messages(spark, folder)
+        spread(messages(spark, folder))
         .select("id", feature_tokens(F.col("text")).alias("words"))
         .select(
             "id",

@@ -14,6 +14,7 @@ from moodstream.operators.model import (
 )
 from moodstream.operators.ranking import numbered
 from moodstream.sources.readers import table
+from moodstream.plans.messages import spread
 from moodstream.plans.registry import query
 from moodstream.plans.sentiment import MODEL, scored_sql
 from moodstream.plans.words import VOCABULARY, vocabulary
@@ -37,7 +38,7 @@ def labelled(spark: SparkSession, folder: str) -> DataFrame:
         F.col("doc_id").alias("id"), F.col("quality").alias("sentiment")
     )
     documents = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
-    return labels.join(documents, "id")
+    return labels.join(spread(documents), "id")
 
 
 @query(

@@ -22,6 +22,7 @@ from moodstream.plans.messages import (
     messages,
     newest_word_copies,
     placeholders_sql,
+    spread,
     texts,
     tokens_sql,
 )
@@ -82,7 +83,8 @@ def all_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def newest_counts(spark: SparkSession, folder: str, n: int) -> DataFrame:
     """(batch_ts, word, cnt) of the n newest batches; only texts that arrived in them are tokenised."""
-    arrived = newest_word_copies(spark, folder, n).join(texts(spark, folder), "doc_id")
+    carried = spread(texts(spark, folder), "doc_id")
+    arrived = newest_word_copies(spark, folder, n).join(carried, "doc_id")
     words = explode_words(arrived, ["batch_ts", "copies"], tokens(F.col("text")))
     return count_words(words, ["batch_ts"], copies="copies")
 
@@ -100,7 +102,7 @@ def long_totals(spark: SparkSession, folder: str, exact: bool = False) -> DataFr
 
 def english_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Word counts over all English messages."""
-    return count_words(explode_words(english(spark, folder)))
+    return count_words(explode_words(spread(english(spark, folder))))
 
 
 def vocabulary(spark: SparkSession, folder: str) -> DataFrame:
@@ -187,7 +189,7 @@ def vocabulary_build(spark: SparkSession, folder: str) -> DataFrame:
 )
 def vocab_hit_rate(spark: SparkSession, folder: str) -> DataFrame:
     """Share of words in the vocabulary, per language."""
-    words = explode_words(messages(spark, folder), ["lang"], feature_tokens(F.col("text")))
+    words = explode_words(spread(messages(spark, folder)), ["lang"], feature_tokens(F.col("text")))
     hits = join_vocabulary(words, vocabulary(spark, folder), "left", VOCABULARY + 4)
     return (
         hits.groupBy("lang")
@@ -206,5 +208,5 @@ def vocab_hit_rate(spark: SparkSession, folder: str) -> DataFrame:
 def term_frequency(spark: SparkSession, folder: str) -> DataFrame:
     """Term frequencies of every English message."""
     return term_frequency_of(
-        english(spark, folder), vocabulary(spark, folder), max_terms=VOCABULARY + 4
+        spread(english(spark, folder)), vocabulary(spark, folder), max_terms=VOCABULARY + 4
     )

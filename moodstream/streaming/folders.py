@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -14,11 +15,15 @@ def shared_folder(spark: SparkSession) -> str:
     name = "spark.checkpoint.dir"
     folder = spark.conf.get(name, None) or spark.sparkContext.getConf().get(name)
     if folder is None:
-        folder = tempfile.mkdtemp(prefix="moodstream-")
-        spark.conf.set(name, folder)
+        folder = _local_folder()
     return folder.rstrip("/")
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="moodstream-")
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
