@@ -121,12 +121,20 @@ def split_at_random(frame: DataFrame, seed: int | None = None, train: float = 0.
 
 
 def train_model(
-    points: DataFrame, max_iter: int = 100, reg: float = 0.01, tol: float = 1e-4
+    points: DataFrame,
+    max_iter: int = 100,
+    reg: float = 0.01,
+    tol: float = 1e-3,
+    points_per_task: int = 20_000,
 ) -> LogisticRegressionModel:
     """Logistic regression with L2 penalty and without intercept on raw counts.
 
-    Each iteration is one distributed sum over the points, which the estimator keeps persisted.
+    Each iteration is one distributed sum over the points, which the estimator keeps persisted. A
+    small sample is put into few tasks, as starting tasks would take most of every iteration; a large
+    one keeps all of its partitions.
     """
+    points = points.select("label", "features")
+    tasks = -(-points.select("label").count() // points_per_task)
     return LogisticRegression(
         maxIter=max_iter,
         tol=tol,
@@ -134,7 +142,7 @@ def train_model(
         elasticNetParam=0.0,
         fitIntercept=False,
         standardization=False,
-    ).fit(points.select("label", "features"))
+    ).fit(points.coalesce(max(1, tasks)))
 
 
 def predict(model: LogisticRegressionModel, points: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from moodstream.functions.text import VOCABULARY_TAIL
 from moodstream.schemas import MESSAGE, MODEL
 from moodstream.sources.payload import payload_text
 
+MAX_VOCABULARY_BYTES = 16 * 2**20
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One Parquet table of a folder."""
@@ -19,14 +21,12 @@ def split_labelled_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     Only the first comma separates, as there is no quoting. The header is dropped; a line whose
     label is no integer has sentiment null, see `split_bad_labels`.
     """
-    parts = F.split(F.col(value), ",", 2)
-    return (
-        lines.select(parts.alias("parts"))
-        .filter(F.col("parts")[0] != "sentiment")
-        .select(
-            F.col("parts")[0].try_cast("int").alias("sentiment"),
-            F.get("parts", F.lit(1)).alias("text"),
-        )
+    line = F.col(value)
+    label = F.substring_index(line, ",", 1)
+    comma = F.instr(line, ",")
+    return lines.filter(label != "sentiment").select(
+        label.try_cast("int").alias("sentiment"),
+        F.when(comma > 0, F.substr(line, comma + 1)).alias("text"),
     )
 
 
@@ -45,8 +45,12 @@ def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """(term, idx) from a file with one term per line, placeholder terms last.
 
     The position in the file is the index, also for the empty term that a final newline leaves.
-    A repeated term keeps its last position.
+    A repeated term keeps its last position. Line numbers need the file in one piece, so its size is
+    checked first; a longer list belongs in a (term, idx) table.
     """
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    if size > MAX_VOCABULARY_BYTES:
+        raise ValueError(f"vocabulary file of {size} bytes; keep it as a table instead")
     lines = F.split(F.regexp_replace("value", "\r\n?", "\n"), "\n", -1)
     terms = F.concat(lines, F.array(*[F.lit(t) for t in VOCABULARY_TAIL]))
     return (
@@ -67,7 +71,7 @@ def read_model(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_message_array(spark: SparkSession, path: str) -> DataFrame:
-    """Messages from files that hold one JSON array each."""
+    """Messages from files that hold one JSON array each. A file is read by one task."""
     return spark.read.schema(MESSAGE).json(path, multiLine=True)
 
 
