@@ -51,7 +51,7 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
 def arrivals(spark: SparkSession, folder: str, since: Column | None = None) -> DataFrame:
     """Events with the document they carry and the batch they fall into.
 
-    `since` is the start of a batch. It filters the raw time, so it reaches the Parquet scan.
+    `since` is the start of a batch. It filters the raw time at the scan, before anything else.
     """
     documents = table(spark, folder, "documents").agg(F.count("*")).scalar()
     events = table(spark, folder, "events")

@@ -37,10 +37,13 @@ def decode_payload(
         extended,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
     )
-    carried = [F.col(c) for c in frame.columns if c not in schema.fieldNames()]
+    carried = [c for c in frame.columns if c not in schema.fieldNames()]
+    # A filter is pushed below a projection, with a copy of the parser for every field it names, but
+    # not below a generator. So the one-element array makes sure that a payload is parsed once.
+    message = F.explode_outer(F.array(parsed)).alias("message")
     fields = [F.col(f"message.{name}").alias(name) for name in schema.fieldNames()]
     bad = F.col("message").isNull() | F.col(f"message.{_CORRUPT}").isNotNull()
-    return frame.withColumn("message", parsed).select(*carried, *fields, bad.alias("is_bad"))
+    return frame.select(*carried, message).select(*carried, *fields, bad.alias("is_bad"))
 
 
 def split_bad(decoded: DataFrame, payload: str = "payload") -> tuple[DataFrame, DataFrame]:
