@@ -1,7 +1,8 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR names the data folder, BENCH_CPUS the local cores, BENCH_QUERIES an optional list.
-Every query is run to its last row. One untimed pass over a small query warms the JVM up.
+Every query is run to its last row, twice in a row: `queries` holds the second time, after code generation
+and warm-up, and `cold` the first.
 """
 
 import json
@@ -69,11 +70,10 @@ def main() -> None:
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - start, 3)
 
-    run("english_nonempty")
-    times = {}
+    cold, times = {}, {}
     for name in names:
-        times[name] = run(name)
-        print(f"{name} {times[name]}", file=sys.stderr, flush=True)
+        cold[name], times[name] = run(name), run(name)
+        print(f"{name} {cold[name]} {times[name]}", file=sys.stderr, flush=True)
     spark.stop()
     print(
         json.dumps(
@@ -82,6 +82,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "cold": cold,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
             }
         )

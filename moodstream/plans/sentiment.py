@@ -27,6 +27,7 @@ from moodstream.plans.messages import (
     tokens_sql,
 )
 from moodstream.plans.registry import query
+from moodstream.streaming.folders import written
 
 SHORT = 15  # batches in the short history
 LONG = 60  # batches in the long history
@@ -241,7 +242,8 @@ def trailing_volume(spark: SparkSession, folder: str) -> DataFrame:
         sentiment_history(predictions(spark, folder), copies=F.col("copies"))
     )
     day = F.col("batch_ts").cast("date")
-    dense = numbered(history, F.col("batch_ts"), day)
+    # One row per batch from a pass over all texts. It is numbered from two sides, so it is written.
+    dense = numbered(written(history, "history"), F.col("batch_ts"), day)
     return trailing_sum(dense, "idx", ["negative", "positive", "volume"], SHORT).select(
         "batch_ts", "volume", "trailing_negative", "trailing_positive", "trailing_volume"
     )

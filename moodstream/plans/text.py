@@ -35,7 +35,7 @@ def decode_payload(spark: SparkSession, folder: str) -> DataFrame:
     payload = F.to_json(F.struct("id", "text", "lang", "user"))
     cut = F.when(F.col("id") % 10 == 3, F.expr("left(payload, length(payload) - 1)"))
     payloads = (
-        messages(spark, folder)
+        spread(messages(spark, folder))
         .select("id", payload.alias("payload"))
         .select(F.coalesce(cut, "payload").alias("payload"))
     )
@@ -62,7 +62,7 @@ def decode_payload(spark: SparkSession, folder: str) -> DataFrame:
 )
 def payload_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Messages encoded to UTF-8 topic bytes, decoded and parsed again."""
-    sent = messages(spark, folder).select(
+    sent = spread(messages(spark, folder)).select(
         encode_payload("id", "text", "lang", "user").alias("value")
     )
     received = decode(sent.select(payload_text(F.col("value")).alias("payload")))

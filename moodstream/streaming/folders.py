@@ -4,7 +4,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,3 +27,10 @@ def _local_folder() -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a table in the shared folder, for a small result of much work that is read twice."""
+    path = new_folder(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

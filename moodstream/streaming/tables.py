@@ -56,9 +56,13 @@ def run_key(run: str, epoch: int) -> Column:
 
 
 def overwrite_batches(rows: DataFrame, path: str, key: Column) -> None:
-    """Write batches, replacing those with the same date and key and no others."""
+    """Write batches, replacing those with the same date and key and no others.
+
+    Batches are short (top lists, sums), so each goes to one task and becomes one file.
+    """
     (
         rows.withColumns({DATE: F.date_format("batch_ts", "yyyy-MM-dd"), KEY: key})
+        .repartition(DATE, KEY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DATE, KEY)
@@ -114,6 +118,5 @@ def replace_latest(spark: SparkSession, top: DataFrame, tables: ServingTables) -
     except AnalysisException:  # no snapshot yet
         held = None
     if newest is not None and (held is None or newest >= held):
-        newest_batches(top, 1).select(*WORD_COUNTS.fieldNames()).write.mode("overwrite").parquet(
-            tables.latest
-        )
+        snapshot = newest_batches(top, 1).select(*WORD_COUNTS.fieldNames()).coalesce(1)
+        snapshot.write.mode("overwrite").parquet(tables.latest)
