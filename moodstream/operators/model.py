@@ -11,7 +11,6 @@ from moodstream.functions.lookup import MAX_LITERAL_ENTRIES, lookup
 from moodstream.functions.scores import outcome
 from moodstream.functions.text import feature_tokens
 from moodstream.operators.features import join_vocabulary
-from moodstream.operators.words import explode_words
 
 
 @dataclass(frozen=True)
@@ -156,15 +155,32 @@ def confusion(predicted: DataFrame, label: str = "label") -> DataFrame:
     return predicted.groupBy(cell.alias("outcome")).agg(F.count("*").alias("cnt"))
 
 
-def model_row(spark: SparkSession, model: LogisticRegressionModel) -> DataFrame:
-    """One row {weights, intercept}; as long as the vocabulary."""
+def weight_row(vocabulary: DataFrame, weights: DataFrame, intercept: float = 0.0) -> DataFrame:
+    """One row {weights, intercept} in index order from (term, weight); as long as the vocabulary."""
+    placed = vocabulary.join(weights, "term", "left").select(
+        F.struct("idx", F.coalesce("weight", F.lit(0.0)).alias("weight")).alias("placed")
+    )
+    ordered = F.array_sort(F.collect_list("placed"))
+    return placed.agg(
+        F.transform(ordered, lambda entry: entry["weight"]).alias("weights"),
+        F.lit(float(intercept)).alias("intercept"),
+    )
+
+
+def fitted_row(spark: SparkSession, model: LogisticRegressionModel) -> DataFrame:
+    """The same row from a fitted model."""
     row = ([float(w) for w in model.coefficients.toArray()], float(model.intercept))
     return spark.createDataFrame([row], "weights array<double>, intercept double")
 
 
+def export_row(row: DataFrame, path: str) -> None:
+    """Write a model row as JSON, readable by `read_model`."""
+    row.coalesce(1).write.mode("overwrite").json(path)
+
+
 def export_model(spark: SparkSession, model: LogisticRegressionModel, path: str) -> None:
-    """Write the weights as JSON, readable by `read_model`."""
-    model_row(spark, model).coalesce(1).write.mode("overwrite").json(path)
+    """Write the weights of a fitted model as JSON."""
+    export_row(fitted_row(spark, model), path)
 
 
 def draw_numbers(spark: SparkSession, n: int) -> DataFrame:

@@ -73,15 +73,15 @@ LEXICON_SQL = "lexicon(word, weight) AS (VALUES {})".format(
 )
 
 
-def scored_sql(source: str, key: str = "id", out: str = "scored") -> str:
-    """CTE with margin and prediction per key."""
+def scored_sql(source: str, key: str = "id", known: str = "true") -> str:
+    """CTE with margin and prediction per key, from the lexicon's words that fulfil `known`."""
     return f"""{LEXICON_SQL},
-{out} AS (
+scored AS (
   SELECT {key}, coalesce(sum(weight), 0.0) AS margin,
          CASE WHEN coalesce(sum(weight), 0.0) > 0 THEN 1 ELSE 0 END AS prediction
   FROM (SELECT {key}, unnest(CASE WHEN len(t) = 0 THEN [''] ELSE t END) AS word
         FROM (SELECT {key}, {tokens_sql(placeholders_sql('text'))} AS t FROM {source}))
-  LEFT JOIN lexicon USING (word)
+  LEFT JOIN (SELECT * FROM lexicon WHERE {known}) USING (word)
   GROUP BY {key}
 )"""
 

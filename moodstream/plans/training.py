@@ -1,23 +1,30 @@
 """Training, evaluation and replay."""
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodstream.operators.features import labelled_points, vocabulary_terms
+from moodstream.operators.features import labelled_points as points_of
+from moodstream.operators.features import vocabulary_terms
 from moodstream.operators.model import (
     confusion,
+    export_row,
+    load_linear_model,
     predict,
     replay,
     score_messages,
     split_by_key,
     train_model,
+    weight_row,
 )
 from moodstream.operators.ranking import numbered
-from moodstream.sources.readers import table
-from moodstream.plans.messages import spread
+from moodstream.plans.messages import english, placeholders_sql, spread, tokens_sql
 from moodstream.plans.registry import query
-from moodstream.plans.sentiment import MODEL, scored_sql
-from moodstream.plans.words import VOCABULARY, vocabulary
+from moodstream.plans.sentiment import LEXICON, MODEL, scored_sql
+from moodstream.plans.words import VOCABULARY, VOCABULARY_SQL, vocabulary
+from moodstream.sources.readers import read_model, table
+from moodstream.streaming.folders import new_folder, written
 
 LABELLED_SQL = """labelled AS (
   SELECT doc_id AS id, quality AS sentiment, text FROM labels JOIN documents USING (doc_id)
@@ -71,11 +78,56 @@ def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return confusion(score_messages(labelled(spark, folder), MODEL), "sentiment")
 
 
+@query(
+    f"""
+    WITH {VOCABULARY_SQL}, {LABELLED_SQL},
+    words AS (
+      SELECT sentiment, unnest({tokens_sql(placeholders_sql('text'))}) AS word FROM labelled
+    )
+    SELECT CAST(sentiment AS DOUBLE) AS label, CAST(idx AS INTEGER) AS idx,
+           count(*) AS total
+    FROM words JOIN vocabulary ON word = term GROUP BY sentiment, idx
+    """
+)
+def labelled_points(spark: SparkSession, folder: str) -> DataFrame:
+    """Sum of the feature vectors per label, as (label, index, total)."""
+    terms = vocabulary_terms(vocabulary(spark, folder), VOCABULARY + 4)
+    summed = (
+        points_of(labelled(spark, folder), terms)
+        .groupBy("label")
+        .agg(Summarizer.sum(F.col("features")).alias("features"))
+    )
+    # The summarizer goes over the mean, so its sums of whole numbers are off in the last digits.
+    return (
+        summed.select("label", F.posexplode(vector_to_array("features")).alias("idx", "value"))
+        .select("label", "idx", F.round("value").cast("bigint").alias("total"))
+        .filter("total > 0")
+    )
+
+
+@query(
+    f"""
+    WITH {VOCABULARY_SQL}, {scored_sql('english', known='word IN (SELECT term FROM vocabulary)')}
+    SELECT id, margin, prediction FROM scored
+    """
+)
+def exported_model_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores with a model that was placed in vocabulary order, written as JSON and read back."""
+    path = new_folder(spark, "model")
+    terms = written(vocabulary(spark, folder), "vocabulary")
+    weights = spark.createDataFrame(list(LEXICON.items()), "term string, weight double")
+    export_row(weight_row(terms, weights), path)
+    model = load_linear_model(terms, read_model(spark, path))
+    return score_messages(spread(english(spark, folder)), model).select(
+        "id", "margin", "prediction"
+    )
+
+
 @query()
 def train_and_confuse(spark: SparkSession, folder: str) -> DataFrame:
     """Train on four fifths of the labelled documents, judge on the rest."""
     terms = vocabulary_terms(vocabulary(spark, folder), VOCABULARY + 4)
-    points = labelled_points(labelled(spark, folder), terms).select("id", "label", "features")
+    points = points_of(labelled(spark, folder), terms).select("id", "label", "features")
     train, test = split_by_key(points)
     return confusion(predict(train_model(train), test))
 
