@@ -39,8 +39,8 @@ def join_vocabulary(
     """Words with their vocabulary row.
 
     `max_terms` is the proven size of the vocabulary, such as the n of the top-n that made it. If it
-    is small enough the vocabulary is broadcast and the words stay where they are. Without it the
-    optimizer decides by measured size.
+    is small enough the vocabulary is broadcast and the words stay where they are. `checked_size` finds
+    it for a vocabulary of unknown size. Without it the optimizer decides by measured size.
     """
     if max_terms is not None and max_terms <= MAX_BROADCAST_TERMS:
         vocabulary = F.broadcast(vocabulary)
