@@ -12,7 +12,8 @@ def top_per_group(
     """k first rows of each group.
 
     The rank filter becomes a group limit below the shuffle: each task sends at most k rows per
-    group, so a group that holds most of the rows costs its reducer no more than k per task.
+    group, so a group that holds most of the rows costs its reducer no more than k per task. (The
+    optimizer does this for k up to spark.sql.optimizer.windowGroupLimitThreshold, 1000 by default.)
     """
     by = [by] if isinstance(by, str) else list(by)
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from moodstream.operators import features, filters, model, ranking, recent, sentiment, words
 from moodstream.operators.cloud import cloud
+from moodstream.plans.messages import spread
 from moodstream.sources import payload, readers
+from moodstream.streaming.folders import written
 
 T0 = datetime(2024, 1, 1)
 
@@ -299,3 +301,27 @@ def test_replay_draws_with_replacement(spark):
     assert len(rows) == 300 and sorted(r.draw for r in rows) == list(range(300))
     assert 70 < len({r.id for r in rows}) < 100
     assert sorted(sample.collect()) == sorted(rows)
+
+
+def test_spread_leaves_well_split_tables_alone(spark):
+    cores = spark.sparkContext.defaultParallelism
+    for partitions, expected in ((1, cores), (cores, cores), (3 * cores, 3 * cores)):
+        frame = spread(spark.range(0, 1000, 1, partitions))
+        assert frame.rdd.getNumPartitions() == expected
+        assert frame.count() == 1000
+    plan = spread(spark.range(0, 1000, 1, cores))._jdf.queryExecution().toString()
+    assert "Repartition" not in plan
+
+
+def test_written_frame_is_read_back(spark):
+    frame = spark.createDataFrame([(1, T0), (2, None)], "a bigint, t timestamp_ntz")
+    back = written(frame, "test")
+    assert back.schema == frame.schema and sorted(back.collect()) == sorted(frame.collect())
+
+
+def test_mean_weight(spark):
+    frame = messages(spark, [(1, "good x bad good", "en"), (2, "", "en")])
+    scorer = model.LinearModel({"good": 1.0, "bad": -0.5}, 0.25)
+    score = model.mean_weight(F.split(F.col("text"), " "), scorer)
+    rows = {r.id: r.s for r in frame.select("id", score.alias("s")).collect()}
+    assert rows == {1: 1.75 / 4, 2: 0.25}

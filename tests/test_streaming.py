@@ -1,6 +1,7 @@
 """Stream jobs on message files: batches, retries, reruns and quarantine."""
 
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -122,6 +123,8 @@ def test_retried_micro_batch_is_written_once(spark, inbox, tmp_path):
 def test_micro_batches(spark, inbox, tmp_path):
     (inbox / "b.json").write_text("\n".join(SECOND))
     tables = ServingTables(str(tmp_path / "tables"))
+    for name in ("a.json", "b.json"):  # both files arrive in the same instant
+        os.utime(inbox / name, (1_700_000_000, 1_700_000_000))
     messages = good_messages(read_message_files(spark, str(inbox), max_files=1))
     jobs.await_all([jobs.start_micro_batches(messages, MODEL, tables, every=None)])
     rows = read_sentiment(spark, tables).collect()
