@@ -1,6 +1,6 @@
 """All queries of this package."""
 
-from moodstream.llm import quality_query  # noqa: F401
+from moodstream.llm import language_query, quality_query, simhash_query  # noqa: F401
 from moodstream.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
