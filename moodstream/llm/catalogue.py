@@ -1,6 +1,15 @@
 """All queries of this package."""
 
-from moodstream.llm import bpe_query, language_query, mixing_query, pii_query, quality_query, simhash_query, warc_query  # noqa: F401
+from moodstream.llm import (  # noqa: F401
+    bpe_query,
+    language_query,
+    mixing_query,
+    pii_query,
+    quality_query,
+    simhash_query,
+    spotsigs_query,
+    warc_query,
+)
 from moodstream.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
