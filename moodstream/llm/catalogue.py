@@ -3,6 +3,7 @@
 from moodstream.llm import (  # noqa: F401
     bpe_query,
     language_query,
+    license_query,
     mixing_query,
     pii_query,
     quality_query,
