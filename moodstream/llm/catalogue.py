@@ -9,6 +9,7 @@ from moodstream.llm import (  # noqa: F401
     quality_query,
     simhash_query,
     spotsigs_query,
+    substrings_query,
     warc_query,
 )
 from moodstream.llm.registry import QUERIES, SQL
