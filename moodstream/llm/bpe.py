@@ -19,12 +19,14 @@ Null and empty texts: no ids. Columns not named are kept but not read. Repeated
 import base64
 import json
 import zlib
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SHORT = 48
+CACHED = 100_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -47,20 +49,20 @@ def _found(table: tuple[Column, int], key: Column) -> Column:
     return F.try_element_at(F.get(slots, (F.crc32(key) % width).cast("int")), key)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value evaluated, and a constant written into the plan, once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 class Tokenizer:
     """Expressions for one vocabulary and pattern."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pattern = f"(?U){pattern}"  # \\s by Unicode, as the pattern means it
         self.by_bytes = _table({k.hex(): v for k, v in ranks.items()}, "int")
-        self.whole: dict[str, object] = {}
         pieces = [""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             pieces[rank] = token.hex()
-            try:
-                self.whole[token.decode("utf-8")] = [rank]
-            except UnicodeDecodeError:
-                pass
         constant = lambda rows: F.from_json(F.lit(json.dumps(rows)), "array<string>")
         self.pieces = constant(pieces)
         self.little_endian = constant([i.to_bytes(4, "little").hex() for i in range(len(pieces))])
@@ -69,34 +71,35 @@ class Tokenizer:
         """The cuts of a text."""
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
 
-    def _let(self, value: Column, use) -> Column:
-        return F.get(F.transform(F.array(value), use), F.lit(0))
-
-    def _fold_short(self, digits: Column) -> Column:
-        n = F.length(digits) / 2
-        bytes_ = F.transform(F.sequence(F.lit(1), n.cast("int")), lambda i: F.substring(digits, 2 * i - 1, F.lit(2)))
-
-        def merged(parts: Column, at: Column) -> Column:
-            pair = F.concat(F.get(parts, at - 1), F.get(parts, at))
-            return F.concat(F.slice(parts, F.lit(1), at - 1), F.array(pair), F.slice(parts, at + 2, F.size(parts)))
+    def _fold_short(self, ranks: tuple[Column, int], digits: Column) -> Column:
+        """Ids of up to SHORT bytes. parts and the ranks of their pairs are kept side by side; a merge asks for two new ranks only."""
+        n = (F.length(digits) / 2).cast("int")
+        bytes_ = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(digits, 2 * i - 1, F.lit(2)))
+        one = lambda a, b: F.array(_found(ranks, F.concat(a, b)))
+        none = F.array().cast("array<int>")
 
         def step(state: Column, _) -> Column:
-            parts = state["parts"]
-            pairs = F.zip_with(parts, F.slice(parts, F.lit(2), F.size(parts)), lambda a, b: _found(self.by_bytes, F.concat(a, b)))
-            done = F.struct(parts.alias("parts"), F.lit(True).alias("done"))
+            parts, pairs, least = state["parts"], state["pairs"], state["least"]
+
+            def merged(k: Column) -> Column:
+                new = F.concat(F.get(parts, k - 1), F.get(parts, k))
+                rest = F.concat(
+                    F.when(k > 1, F.concat(F.slice(pairs, F.lit(1), F.greatest(k - 2, F.lit(0))), one(F.get(parts, k - 2), new))).otherwise(none),
+                    F.when(k + 1 < F.size(parts), F.concat(one(new, F.get(parts, k + 1)), F.slice(pairs, k + 2, F.size(pairs)))).otherwise(none),
+                )
+                left = F.concat(F.slice(parts, F.lit(1), k - 1), F.array(new), F.slice(parts, k + 2, F.size(parts)))
+                return _let(rest, lambda r: F.struct(left.alias("parts"), r.alias("pairs"), F.array_min(r).alias("least")))
 
-            def by_rank(r: Column) -> Column:
-                least = F.array_min(r)
-                more = F.struct(merged(parts, F.array_position(r, least).cast("int")).alias("parts"), F.lit(False).alias("done"))
-                return F.when(least.isNull(), done).otherwise(more)
+            return F.when(least.isNull(), state).otherwise(_let(F.array_position(pairs, least).cast("int"), merged))
 
-            return F.when(state["done"], state).otherwise(self._let(pairs, by_rank))
+        def folded(parts: Column) -> Column:
+            pairs = F.zip_with(F.slice(parts, F.lit(1), F.size(parts) - 1), F.slice(parts, F.lit(2), F.size(parts)), lambda a, b: _found(ranks, F.concat(a, b)))
+            start = _let(pairs, lambda r: F.struct(parts.alias("parts"), r.alias("pairs"), F.array_min(r).alias("least")))
+            return F.aggregate(F.sequence(F.lit(1), n), start, step, lambda s: F.transform(s["parts"], lambda x: _found(ranks, x)))
 
-        start = F.struct(bytes_.alias("parts"), F.lit(False).alias("done"))
-        parts = F.aggregate(F.sequence(F.lit(1), n.cast("int")), start, step, lambda s: s["parts"])
-        return F.transform(parts, lambda x: _found(self.by_bytes, x))
+        return _let(bytes_, folded)
 
-    def _fold_long(self, digits: Column) -> Column:
+    def _fold_long(self, ranks: tuple[Column, int], digits: Column) -> Column:
         split = lambda s: F.regexp_extract_all(s, F.lit("[0-9a-f]+"), F.lit(0))
 
         def step(state: Column, _) -> Column:
@@ -106,42 +109,46 @@ class Tokenizer:
                 more = F.struct(F.replace(state["text"], old, new).alias("text"), F.lit(False).alias("done"))
                 return F.when(least.isNull(), F.struct(state["text"].alias("text"), F.lit(True).alias("done"))).otherwise(more)
 
-            pairs = self._let(
+            pair = lambda a, b: F.struct(_found(ranks, F.concat(a, b)).alias("rank"), a.alias("a"), b.alias("b"))
+            pairs = _let(
                 split(state["text"]),
-                lambda p: F.array_min(
-                    F.filter(
-                        F.zip_with(
-                            p, F.slice(p, F.lit(2), F.size(p)),
-                            lambda a, b: F.struct(_found(self.by_bytes, F.concat(a, b)).alias("rank"), a.alias("a"), b.alias("b")),
-                        ),
-                        lambda x: x["rank"].isNotNull(),
-                    )
-                ),
-            )
-            return F.when(state["done"], state).otherwise(self._let(pairs, by_rank))
+                lambda p: F.array_min(F.filter(F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), pair), lambda x: x["rank"].isNotNull())),
+            )
+            return F.when(state["done"], state).otherwise(_let(pairs, by_rank))
 
         start = F.struct(F.regexp_replace(digits, "(..)", "($1)").alias("text"), F.lit(False).alias("done"))
         text = F.aggregate(F.sequence(F.lit(1), (F.length(digits) / 2).cast("int")), start, step, lambda s: s["text"])
-        return F.transform(split(text), lambda x: _found(self.by_bytes, x))
+        return F.transform(split(text), lambda x: _found(ranks, x))
+
+    def ids_of(self, ranks: tuple[Column, int], word: Column) -> Column:
+        """Ids of one non-empty word: its own if it is a token, else by folding merges over its bytes."""
+        return _let(
+            F.lower(F.hex(word)),
+            lambda digits: F.coalesce(
+                F.nullif(F.array(_found(ranks, digits)), F.array(F.lit(None).cast("int"))),
+                F.when(F.length(digits) <= 2 * SHORT, self._fold_short(ranks, digits)).otherwise(self._fold_long(ranks, digits)),
+            ),
+        )
 
     def folded(self, word: Column) -> Column:
-        """Ids of one non-empty word that is no token, by folding merges over its bytes."""
-        digits = F.lower(F.hex(word))
-        return F.when(F.octet_length(word) <= SHORT, self._fold_short(digits)).otherwise(self._fold_long(digits))
+        """Ids of one word."""
+        return _let(self.by_bytes[0], lambda slots: self.ids_of((slots, self.by_bytes[1]), word))
 
-    def frequent(self, texts: DataFrame, text: str = "text", cached: int = 100_000) -> dict[str, object]:
-        """Ids of the most frequent words that are no tokens; at most `cached` of SHORT bytes."""
+    def frequent(self, texts: DataFrame, text: str = "text", cached: int = CACHED) -> dict[str, object]:
+        """Ids of the most frequent words; at most `cached` of SHORT bytes."""
         counts = texts.select(F.explode(self.words(F.col(text))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-        tokens = _table({k: 1 for k in self.whole}, "int")
-        rare = counts.filter((F.octet_length("word") <= SHORT) & (F.col("n") > 1) & _found(tokens, F.col("word")).isNull())
-        top = rare.orderBy(F.desc("n"), "word").limit(cached)
-        folded = top.repartition(texts.sparkSession.sparkContext.defaultParallelism).select("word", self.folded(F.col("word")).alias("ids"))
-        return {row.word: row.ids for row in folded.collect()}
+        top = counts.filter((F.octet_length("word") <= SHORT) & (F.col("n") > 1)).orderBy(F.desc("n"), "word").limit(cached)
+        cores = texts.sparkSession.sparkContext.defaultParallelism
+        folded = top.repartition(cores).select("word", F.array_join(self.folded(F.col("word")), ",").alias("ids"))
+        return {row.word: list(map(int, row.ids.split(","))) for row in folded.toLocalIterator()}
 
     def encoded(self, text: Column, known: dict[str, object] | None = None) -> Column:
-        """Ids of a text. known: ids of more words."""
-        table = _table({**self.whole, **(known or {})}, "array<int>")
-        return F.flatten(F.transform(self.words(text), lambda w: F.coalesce(_found(table, w), self.folded(w))))
+        """Ids of a text. known: ids of some words."""
+        slots, width = _table(known or {}, "array<int>")
+        words = lambda t: F.flatten(
+            F.transform(self.words(text), lambda w: F.coalesce(_found((t["known"], width), w), self.ids_of((t["ranks"], self.by_bytes[1]), w)))
+        )
+        return _let(F.struct(slots.alias("known"), self.by_bytes[0].alias("ranks")), words)
 
     def as_bytes(self, ids: Column) -> Column:
         """Ids as little-endian unsigned 32-bit numbers."""
@@ -158,6 +165,6 @@ def tokenizer(path: str, pattern: str) -> Tokenizer:
     return Tokenizer(read_ranks(path), pattern)
 
 
-def with_ids(frame: DataFrame, tokens: Tokenizer, text: str = "text", cached: int = 100_000) -> DataFrame:
+def with_ids(frame: DataFrame, tokens: Tokenizer, text: str = "text", cached: int = CACHED) -> DataFrame:
     """Adds `ids`, array<int>."""
     return frame.withColumn("ids", tokens.encoded(F.col(text), tokens.frequent(frame, text, cached)))
