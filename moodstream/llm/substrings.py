@@ -5,8 +5,9 @@ A byte goes if a string of `length` bytes that covers it also starts earlier: in
 1. Windows. A window is `length` bytes of a document. Its key is the smallest hash among its runs of RUN bytes, so equal windows have equal keys, and
    neighbouring windows mostly share one: a stretch of windows with one key is a piece. Pieces travel as (key, document, place) only. A window whose
    key occurs in no other piece has no equal, so its piece is left out, unless the piece goes on behind its smallest run: then it holds that run again.
-2. Shards. The bytes of the pieces that stay are dealt to shards by key. Equal pieces met in one batch are joined before: the later ones are repeats.
-3. Each shard is one text in the order of documents. `suffixes.repeats` sorts its suffixes by external induction, and windows that agree in `length`
+2. Shards. The bytes of the pieces that stay are dealt to shards by key, packed and compressed by task and shard. Equal pieces are joined there: the
+   earliest stands for them, and the windows of the others are repeats.
+3. Each shard is then one text in the order of documents. `suffixes.repeats` sorts its suffixes by external induction, and windows that agree in `length`
    bytes, except the first, are repeats. Larger shards use disk, not memory.
 4. Repeats come back as spans by document, and each document is cut.
 
@@ -32,9 +33,9 @@ from moodstream.llm.suffixes import repeats
 
 RUN = 32
 MANY, STEP = 4096, 8
-#: Digests of pieces kept in a task to join equal ones.
-KNOWN = 1 << 19
-#: Bytes of pieces in a shard on average, and memory for sorting one.
+#: Bytes of pieces that a task packs at once.
+BLOCK = 1 << 23
+#: Bytes of documents for a shard (its pieces have about as many), and memory for sorting one before it uses disk.
 SHARD, MEMORY = 6 << 20, 96 << 20
 #: Windows of a piece at most; longer stretches of one key are several pieces.
 LONGEST = 1 << 16
@@ -171,103 +172,128 @@ def _met_again(found: DataFrame) -> DataFrame:
     return dealt.mapInArrow(pick, "key long, id long, mark long, place long, many long")
 
 
-def _cut_out(documents: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(key, id, mark, first, n, piece): the bytes of the wanted pieces; piece null where the piece is a repeat within a batch."""
+def _cut_out(documents: DataFrame, wanted: DataFrame, length: int, shards: int) -> DataFrame:
+    """(shard, block): the pieces of a task for one shard as compressed columns: bytes, sizes, key, id, mark and first window."""
     lists = wanted.groupBy("id", "mark").agg(F.collect_set(F.struct("key", "place", "many")).alias("own"))
     both = documents.dropDuplicates(["id", "mark"]).join(lists, ["id", "mark"]).select("id", "mark", "packed", "own")
-    names = ["key", "id", "mark", "first", "n", "piece"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = zstandard.ZstdDecompressor()
+        held, size = [], 0
         for batch in batches:
-            order = sorted(range(batch.num_rows), key=lambda i: (batch.column(0)[i].as_py(), batch.column(1)[i].as_py()))
-            seen: set[bytes] = set()
-            held, size = [], 0
-            for row in order:
-                own_id, mark, data, own = (x[row] for x in batch.columns)
+            for own_id, mark, data, own in zip(*batch.columns, strict=True):
                 data = decoder.decompress(data.as_py())
                 own_id, mark = own_id.as_py(), mark.as_py()
-                places = own.values.field("place").to_numpy()
-                keys, many = own.values.field("key").to_numpy(), own.values.field("many").to_numpy()
-                for at in np.argsort(places, kind="stable").tolist():
-                    first, n = int(places[at]) >> PLACE, int(places[at]) & (OWN - 1)
+                columns = (own.values.field(x).to_numpy().tolist() for x in ("key", "place", "many"))
+                for key, place, many in zip(*columns, strict=True):
+                    first, n = place >> PLACE, place & (OWN - 1)
                     piece = data[first : first + n + length - 1]
-                    digest = xxhash.xxh3_128_digest(piece)
-                    again = digest in seen
-                    if len(seen) > KNOWN:
-                        seen.clear()
-                    seen.add(digest)
-                    if again or many[at] < MANY:
-                        held.append((int(keys[at]), own_id, mark, first, n, None if again else piece))
-                        size += 0 if again else len(piece)
-                    else:
-                        for key, start, windows in parts(piece, int(keys[at]), n):
-                            held.append((key, own_id, mark, first + start, windows, piece[start : start + windows + length - 1]))
-                            size += windows + length - 1
-                if size > 1 << 23 or len(held) > 1 << 17:
+                    for key_of, start, windows in parts(piece, key, n) if many >= MANY else ((key, 0, n),):
+                        held.append((piece[start : start + windows + length - 1], key_of, own_id, mark, first + start))
+                    size += len(piece)
+                if size > BLOCK:
                     yield packed(held)
                     held, size = [], 0
+        if held:
             yield packed(held)
 
     def packed(rows: list[tuple]) -> pa.RecordBatch:
-        columns = zip(*rows, strict=True) if rows else [[] for _ in names]
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if name == "piece" else pa.int64()) for x, name in zip(columns, names, strict=True)], names)
-
-    return both.mapInArrow(cut, "key long, id long, mark long, first long, n long, piece binary")
+        coder = zstandard.ZstdCompressor(level=1)
+        numbers = np.array([x[1:] for x in rows], np.int64).T
+        shard = ((numbers[0].view(np.uint64) * _SPREAD) >> np.uint64(20)) % np.uint64(shards)
+        order = np.lexsort([numbers[3], numbers[1], shard])
+        starts = np.flatnonzero(np.diff(shard[order].astype(np.int64), prepend=-1))
+        blocks = []
+        for a, b in zip(starts, np.append(starts[1:], len(order)), strict=True):
+            own = order[a:b]
+            data = [rows[i][0] for i in own.tolist()]
+            head = np.array([len(own)], np.int64).tobytes() + np.fromiter(map(len, data), np.int64, len(own)).tobytes()
+            blocks.append(coder.compress(head + numbers[:, own].tobytes() + b"".join(data)))
+        return pa.RecordBatch.from_arrays([pa.array(shard[order[starts]].astype(np.int32)), pa.array(blocks, pa.binary())], ["shard", "block"])
+
+    return both.mapInArrow(cut, "shard int, block binary")
+
+
+def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all pieces, sizes, (key, id, mark, first)) of a block."""
+    n = int(np.frombuffer(block, np.int64, 1)[0])
+    sizes = np.frombuffer(block, np.int64, n, 8)
+    numbers = np.frombuffer(block, np.int64, 4 * n, 8 + 8 * n).reshape(4, n)
+    return np.frombuffer(block, np.uint8, offset=8 + 40 * n), sizes, numbers
+
+
+def _joined(data: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces in the given order as one text of symbols, each with a 0 behind it; where they start in it."""
+    starts = (np.cumsum(sizes) - sizes)[order]
+    n = sizes[order]
+    to = np.cumsum(n + 1) - n - 1
+    text = np.zeros(int((n + 1).sum()), np.uint16)
+    for a in range(0, len(n), 1 << 14):  # indices of a part at a time
+        own = slice(a, a + (1 << 14))
+        inside = np.arange(n[own].sum()) - np.repeat(np.cumsum(n[own]) - n[own], n[own])
+        text[np.repeat(to[own], n[own]) + inside] = data[np.repeat(starts[own], n[own]) + inside].astype(np.uint16) + 1
+    return text, to
+
+
+def spans_of_shard(blocks: list[bytes], length: int) -> np.ndarray:
+    """(id, mark, first, n) of the runs of windows of a shard that are repeats.
+
+    Equal pieces are joined first: the windows of all but the earliest are repeats, and the earliest stands for them in the text that is sorted.
+    """
+    opened = [unpacked(x) for x in blocks]
+    data = np.concatenate([x[0] for x in opened])
+    sizes = np.concatenate([x[1] for x in opened])
+    numbers = np.concatenate([x[2] for x in opened], axis=1)
+    opened.clear()
+    ends = np.cumsum(sizes)
+    view = memoryview(data)
+    digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(view[b - n : b]) for b, n in zip(ends.tolist(), sizes.tolist(), strict=True)), np.uint64)
+    order = np.lexsort([numbers[3], numbers[2], numbers[1], digests[1::2], digests[::2]])
+    same = np.append(False, (digests[::2][order][1:] == digests[::2][order][:-1]) & (digests[1::2][order][1:] == digests[1::2][order][:-1]))
+    later = order[same]
+    found = [np.stack([*numbers[1:, later], sizes[later] - length + 1])]
+    once = order[~same]
+    once = once[np.lexsort([numbers[3, once], numbers[2, once], numbers[1, once]])]
+    text, to = _joined(data, sizes, once)
+    again = repeats(text, length, MEMORY)
+    edge = np.diff(again.astype(np.int8), prepend=0)
+    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    row = np.searchsorted(to, begin, side="right") - 1
+    own = once[row]
+    found.append(np.stack([*numbers[1:3, own], numbers[3, own] + begin - to[row], end - begin]))
+    return np.concatenate(found, axis=1)
 
 
 def _spans_of_shards(cut: DataFrame, length: int, shards: int) -> DataFrame:
     """(id, mark, first, n): runs of windows that are repeats."""
-    ready = cut.filter("piece is null").select("id", "mark", "first", "n")
-    rows = cut.filter("piece is not null").withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
-    dealt = rows.select("shard", "id", "mark", "first", "piece").repartition(shards, "shard").sortWithinPartitions("shard", "id", "mark", "first")
+    names = ["id", "mark", "first", "n"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = zstandard.ZstdDecompressor()
         shard, held = None, []
         for batch in batches:
-            numbers = batch.column(0).to_numpy()
-            cuts = np.append(np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])), len(numbers)) if len(numbers) else []
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if numbers[a] != shard and held:
-                    yield from solved(held)
+            for number, block in zip(*batch.columns, strict=True):
+                if number.as_py() != shard and held:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in spans_of_shard(held, length)], names)
                     held = []
-                shard = numbers[a]
-                part = batch.slice(a, b - a)
-                data = part.column(4).cast(pa.large_binary())
-                sizes = np.diff(np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1])
-                begin = np.frombuffer(data.buffers()[1], np.int64)[data.offset]
-                raw = np.frombuffer(data.buffers()[2], np.uint8)[begin : begin + sizes.sum()]
-                text = np.zeros(sizes.sum() + len(sizes), np.uint16)
-                inside = np.ones(len(text), bool)
-                inside[np.cumsum(sizes + 1) - 1] = False
-                text[inside] = raw.astype(np.uint16) + 1
-                held.append((text, sizes + 1, *(part.column(i).to_numpy() for i in (1, 2, 3))))
+                shard = number.as_py()
+                held.append(decoder.decompress(block.as_py()))
         if held:
-            yield from solved(held)
-
-    def solved(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        text, sizes, ids, marks, firsts = (np.concatenate([x[i] for x in held]) for i in range(5))
-        held.clear()
-        again = repeats(text, length, MEMORY)
-        edge = np.diff(again.astype(np.int8), prepend=0)
-        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        starts = np.cumsum(sizes) - sizes
-        row = np.searchsorted(starts, begin, side="right") - 1
-        columns = ids[row], marks[row], firsts[row] + begin - starts[row], end - begin
-        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], ["id", "mark", "first", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in spans_of_shard(held, length)], names)
 
-    return dealt.mapInArrow(search, "id long, mark long, first long, n long").unionByName(ready)
+    dealt = cut.repartition(shards, "shard").sortWithinPartitions("shard")
+    return dealt.mapInArrow(search, "id long, mark long, first long, n long")
 
 
 def cut_repeats(frame: DataFrame, key: str = "doc_id", text: str = "text", length: int = 100) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept): bytes before, bytes and runs removed, and what is left, for every row."""
     if length < RUN:
         raise ValueError(f"length {length} is less than {RUN}")
-    wanted = written(_met_again(_all_pieces(frame, key, text, length)), "pieces")
+    size = frame.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+    shards = max(1, round(size / SHARD))
     documents = _documents(frame, key, text)
-    cut = written(_cut_out(documents, wanted, length), "cut-pieces")
-    size = cut.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
-    spans = written(_spans_of_shards(cut, length, max(1, round(size / SHARD))), "repeats")
+    cut = _cut_out(documents, _met_again(_all_pieces(frame, key, text, length)), length, shards)
+    spans = written(_spans_of_shards(cut, length, shards), "repeats")
     lists = spans.groupBy("id", "mark").agg(F.collect_list(F.struct("first", "n")).alias("spans"))
     both = documents.join(lists, ["id", "mark"], "left").select("id", "packed", "spans")
     names = ["key", "n_bytes", "n_removed", "n_spans", "kept"]
