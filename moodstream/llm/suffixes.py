@@ -169,8 +169,8 @@ def external_order(keys: list[np.ndarray], scratch: Scratch) -> np.ndarray:
     return out
 
 
-def _refined(rank: np.ndarray, rows: np.ndarray, key: np.ndarray, scratch: Scratch) -> None:
-    """Split the groups of equal rank among `rows` by a further key; a rank is the number of smaller ones."""
+def _refined(rank: np.ndarray, rows: np.ndarray, key: np.ndarray, scratch: Scratch) -> np.ndarray:
+    """Split the groups of equal rank among `rows` by a further key; a rank is the number of smaller ones. Gives the rows still tied."""
     old = rank[rows]
     order = external_order([old, key], scratch)
     a, k = old[order], key[order]
@@ -178,12 +178,9 @@ def _refined(rank: np.ndarray, rows: np.ndarray, key: np.ndarray, scratch: Scrat
     group = np.maximum.accumulate(np.where(np.append(True, a[1:] != a[:-1]), place, 0))
     same = np.append(False, (a[1:] == a[:-1]) & (k[1:] == k[:-1]))
     first = np.maximum.accumulate(np.where(same, 0, place))
-    rank[rows[order]] = a + first - group
-
-
-def _tied(rank: np.ndarray) -> np.ndarray:
-    """Rows whose rank others have too."""
-    return np.flatnonzero(np.bincount(rank, minlength=len(rank))[rank] > 1)
+    ordered = rows[order]
+    rank[ordered] = a + first - group
+    return np.sort(ordered[same | np.append(same[1:], False)])
 
 
 def star_order(text: np.ndarray, small: np.ndarray, stars: np.ndarray, depth: int, scratch: Scratch) -> np.ndarray:
@@ -200,44 +197,49 @@ def star_order(text: np.ndarray, small: np.ndarray, stars: np.ndarray, depth: in
         return key
 
     rank = scratch.array(m, np.int64)
-    rows, done = np.arange(m), 0
+    rows, done, tied = np.arange(m), 0, []
     while len(rows) and done < depth:  # names
-        _refined(rank, rows, packed(stars[rows].astype(np.int64) + done, lengths[rows] - done), scratch)
+        rows = _refined(rank, rows, packed(stars[rows].astype(np.int64) + done, lengths[rows] - done), scratch)
         done += 6
-        rows = _tied(rank)
+        tied.append(rows[lengths[rows] <= done])
         rows = rows[lengths[rows] > done]
 
-    def level(span: int) -> None:  # recursion over spans of names
-        rows = _tied(rank)
+    def level(span: int, rows: np.ndarray) -> None:  # recursion over spans of names
         behind = np.minimum(rows + span, m - 1)
         rows = rows[stars[behind].astype(np.int64) - stars[rows] < depth]
         rows = rows[rows + span < m] if len(rows) else rows
         if len(rows):
             whole = np.append(rank, -1)
-            _refined(rank, rows, whole[rows + span], scratch)
-            level(2 * span)
+            level(2 * span, _refined(rank, rows, whole[rows + span], scratch))
 
-    level(1)
+    level(1, np.sort(np.concatenate([*tied, rows])))
     return stars[external_order([rank], scratch)]
 
 
-def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
-    """Length of the common prefix of suffix pairs, at most `depth`."""
-    out = np.zeros(len(a), np.int64)
-    rows = np.arange(len(a))
-    a, b = a.astype(np.int64), b.astype(np.int64)
+def sixes(text: np.ndarray, scratch: Scratch) -> np.ndarray:
+    """The six symbols from each position as one number; behind the end comes a symbol of its own."""
     n = len(text)
-
-    def word(at: np.ndarray) -> np.ndarray:
-        key = np.zeros(len(at), np.int64)
+    out = scratch.array(n + 1, np.int64)
+    for start in range(0, n + 1, BATCH):
+        own = np.full(min(BATCH, n + 1 - start) + 5, 1 << 9, np.int64)
+        there = text[start : start + len(own)]
+        own[: len(there)] = there
         for j in range(6):
-            key = key << 10 | np.where(at + j < n, text[np.minimum(at + j, n - 1)], 1 << 9)
-        return key
+            part = out[start : start + len(own) - 5]
+            part[:] = part << 10 | own[j : j + len(part)]
+    return out
+
 
+def common_prefix(six: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
+    """Length of the common prefix of suffix pairs, at most `depth`, from the numbers of `sixes`."""
+    out = np.zeros(len(a), np.int64)
+    rows = np.arange(len(a))
+    a, b = a.astype(np.int64), b.astype(np.int64)
+    n = len(six) - 1
     for done in range(0, depth, 6):
         if not len(rows):
             break
-        differ = word(a[rows] + done) ^ word(b[rows] + done)
+        differ = six[np.minimum(a[rows] + done, n)] ^ six[np.minimum(b[rows] + done, n)]
         # the highest differing symbol, by the place of the highest bit
         out[rows] = done + 6 - -(-np.frexp(differ.astype(float))[1] // 10)
         rows = rows[differ == 0]
@@ -326,6 +328,7 @@ def sorted_suffixes(text: np.ndarray, depth: int, memory: int = 1 << 28) -> Iter
         small = smaller_than_next(text, scratch)
         stars = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(np.uint32)
         ordered = star_order(text, small, stars, depth, scratch)
+        six = sixes(text, scratch)
         star_symbols = text[ordered]
         edges = np.searchsorted(star_symbols, np.arange(symbols + 1))
 
@@ -342,7 +345,7 @@ def sorted_suffixes(text: np.ndarray, depth: int, memory: int = 1 << 28) -> Iter
             for start in range(edges[symbol], edges[symbol + 1], BATCH):
                 at = ordered[start : min(start + BATCH, edges[symbol + 1])]
                 previous = np.concatenate([ordered[start - 1 : start] if start > edges[symbol] else (last if last is not None else at[:1]), at[:-1]])
-                common = common_prefix(text, previous, at, depth).astype(np.uint8)
+                common = common_prefix(six, previous, at, depth).astype(np.uint8)
                 if start == edges[symbol] and last is None:
                     common[0] = 0
                 rising.feed(at, common, lambda q, s, p: ~small[q])
@@ -360,14 +363,14 @@ def sorted_suffixes(text: np.ndarray, depth: int, memory: int = 1 << 28) -> Iter
                     last = at[-1:]
                     falling.feed(at, common, lambda q, s, p: (s <= text[p]) & small[q])
             if symbol == 0:  # the last suffix of the text has none behind it that could put it in
-                common = common_prefix(text, last, end, depth).astype(np.uint8) if last is not None else np.zeros(1, np.uint8)
+                common = common_prefix(six, last, end, depth).astype(np.uint8) if last is not None else np.zeros(1, np.uint8)
                 kept.push(end, common)
                 falling.feed(end, common, lambda q, s, p: (s <= text[p]) & small[q])
                 last = end
             behind = 0
             for number, (at, common) in enumerate(large[symbol].batches(backwards=True)):
                 if number == 0 and last is not None:
-                    behind = int(common_prefix(text, at[-1:], last, depth)[0])
+                    behind = int(common_prefix(six, at[-1:], last, depth)[0])
                     joints[symbol] = behind
                 shifted = np.append(np.uint8(behind), common[:0:-1]).astype(np.uint8)
                 behind = int(common[0])
