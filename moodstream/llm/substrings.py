@@ -33,6 +33,8 @@ from moodstream.llm.suffixes import repeats
 
 RUN = 32
 MANY, STEP = 4096, 8
+#: Zstandard level of what travels.
+LEVEL = 3
 #: Bytes of pieces that a task packs at once.
 BLOCK = 1 << 23
 #: Bytes of documents for a shard (its pieces have about as many), and memory for sorting one before it uses disk.
@@ -104,7 +106,7 @@ def _documents(frame: DataFrame, key: str, text: str) -> DataFrame:
     """(id, mark, packed): key, hash of the text, and its compressed bytes."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = zstandard.ZstdCompressor(level=1)
+        coder = zstandard.ZstdCompressor(level=LEVEL)
         for batch in batches:
             data = [(x.as_py() or "").encode() for x in batch.column(1)]
             marks = np.array([xxhash.xxh3_64_intdigest(x) for x in data], np.uint64).view(np.int64)
@@ -198,7 +200,7 @@ def _cut_out(documents: DataFrame, wanted: DataFrame, length: int, shards: int)
             yield packed(held)
 
     def packed(rows: list[tuple]) -> pa.RecordBatch:
-        coder = zstandard.ZstdCompressor(level=1)
+        coder = zstandard.ZstdCompressor(level=LEVEL)
         numbers = np.array([x[1:] for x in rows], np.int64).T
         shard = ((numbers[0].view(np.uint64) * _SPREAD) >> np.uint64(20)) % np.uint64(shards)
         order = np.lexsort([numbers[3], numbers[1], shard])
