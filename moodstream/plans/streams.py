@@ -19,13 +19,6 @@ from moodstream.streaming.tables import (
     read_words,
 )
 
-DELAY = "1 hour"
-
-# Windows that ended before the watermark: newest message less the delay.
-CLOSED_SQL = """
-  batch_ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM stream) - INTERVAL 1 HOUR"""
-
-
 def payload_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Events as a stream of JSON payloads, as a topic would deliver them.
 
@@ -62,16 +55,15 @@ def run_windows(spark: SparkSession, folder: str, output: str) -> ServingTables:
     messages = good_messages(payload_stream(spark, folder))
     await_all(
         start_windows(
-            messages, MODEL, tables, BATCH, DELAY, every=None, run=tables.folder.split("-")[-1],
-            outputs=(output,),
+            messages, MODEL, tables, BATCH, every=None, outputs=(output,),
         )
     )
     return tables
 
 
-@query(f"WITH {TOP_SQL} SELECT * FROM top WHERE {CLOSED_SQL}")
+@query(f"WITH {TOP_SQL} SELECT * FROM top")
 def streamed_word_topk(spark: SparkSession, folder: str) -> DataFrame:
-    """Word count history written by the window job: finished hours only."""
+    """Word count history written by the window job."""
     tables = run_windows(spark, folder, "words")
     return read_words(spark, tables).select(utc("batch_ts").alias("batch_ts"), "word", "cnt")
 
@@ -80,11 +72,11 @@ def streamed_word_topk(spark: SparkSession, folder: str) -> DataFrame:
     f"""
     WITH {HISTORY_SQL}
     SELECT batch_ts, CAST(negative AS BIGINT) AS negative, CAST(positive AS BIGINT) AS positive
-    FROM history WHERE {CLOSED_SQL}
+    FROM history
     """
 )
 def streamed_sentiment_history(spark: SparkSession, folder: str) -> DataFrame:
-    """Sentiment history written by the window job: finished hours only."""
+    """Sentiment history written by the window job."""
     tables = run_windows(spark, folder, "sentiment")
     return read_sentiment(spark, tables).select(
         utc("batch_ts").alias("batch_ts"), "negative", "positive"

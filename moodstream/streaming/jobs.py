@@ -1,10 +1,12 @@
 """The stream jobs.
 
-`start_windows` cuts batches by event time: one query per output, a watermark, and append mode, so a
-window is written once, when it is complete. `start_micro_batches` takes every micro-batch as a batch
+`start_windows` cuts batches by event time: one query per output. A micro-batch adds what it has to each window, so
+there is no state, a late message still counts, and a window that is open at the end is there. `start_micro_batches` takes every micro-batch as a batch
 by itself, as it arrives: one query, whose micro-batch is decoded once and feeds all outputs.
 """
 
+from datetime import UTC, datetime, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,7 +22,7 @@ from moodstream.streaming.tables import (
     overwrite_batches,
     replace_latest,
     run_key,
-    window_key,
+    run_of,
 )
 
 TOP = 100  # words kept per batch
@@ -32,9 +34,9 @@ def trigger_options(every: str | None) -> dict:
     return {"availableNow": True} if every is None else {"processingTime": every}
 
 
-def windowed_words(messages: DataFrame, window: str, delay: str) -> DataFrame:
-    """(batch_ts, word, cnt) per window; usable on tables and, in append mode, on streams."""
-    words = explode_words(messages.withWatermark("event_ts", delay), ["event_ts"])
+def windowed_words(messages: DataFrame, window: str) -> DataFrame:
+    """(batch_ts, word, cnt) per window."""
+    words = explode_words(messages, ["event_ts"])
     return (
         words.groupBy(F.window("event_ts", window).alias("w"), "word")
         .agg(F.count("*").alias("cnt"))
@@ -42,32 +44,35 @@ def windowed_words(messages: DataFrame, window: str, delay: str) -> DataFrame:
     )
 
 
-def windowed_sentiment(
-    messages: DataFrame, model: LinearModel, window: str, delay: str
-) -> DataFrame:
-    """(batch_ts, negative, positive) per window. Scoring is stateless; only two sums are kept."""
-    scored = score_messages(messages.withWatermark("event_ts", delay), model)
-    history = sentiment_history(scored, F.window("event_ts", window).alias("w"))
+def windowed_sentiment(messages: DataFrame, model: LinearModel, window: str) -> DataFrame:
+    """(batch_ts, negative, positive) per window."""
+    history = sentiment_history(score_messages(messages, model), F.window("event_ts", window).alias("w"))
     return history.select(F.col("w.start").alias("batch_ts"), "negative", "positive")
 
 
-def write_words(tables: ServingTables, top: int = TOP):
-    """Top words of every finished window into the history, the newest into the snapshot."""
+def _newest(rows: DataFrame) -> datetime | None:
+    """The newest batch, as an instant in UTC."""
+    micros = rows.agg(F.max(F.unix_micros("batch_ts"))).first()[0]
+    return None if micros is None else datetime(1970, 1, 1, tzinfo=UTC) + timedelta(microseconds=micros)
+
 
-    def write(counts: DataFrame, epoch: int) -> None:
-        kept = top_words(counts, top).persist()
-        overwrite_batches(kept, tables.words, window_key())
-        replace_latest(counts.sparkSession, kept, tables)
-        kept.unpersist()
+def write_words(tables: ServingTables, window: str, run: str, top: int = TOP):
+    """All words of a micro-batch per window into the history, and the newest window's top words into the snapshot."""
+
+    def write(messages: DataFrame, epoch: int) -> None:
+        counts = windowed_words(messages, window).persist()
+        overwrite_batches(counts, tables.words, run_key(run, epoch))
+        replace_latest(messages.sparkSession, _newest(counts), tables, f"{run}-{epoch:012d}", top)
+        counts.unpersist()
 
     return write
 
 
-def write_sentiment(tables: ServingTables):
-    """Finished windows into the sentiment history."""
+def write_sentiment(tables: ServingTables, model: LinearModel, window: str, run: str):
+    """Sentiment of a micro-batch per window into the history."""
 
-    def write(history: DataFrame, epoch: int) -> None:
-        overwrite_batches(history, tables.sentiment, window_key())
+    def write(messages: DataFrame, epoch: int) -> None:
+        overwrite_batches(windowed_sentiment(messages, model, window), tables.sentiment, run_key(run, epoch))
 
     return write
 
@@ -88,36 +93,35 @@ def start_windows(
     model: LinearModel,
     tables: ServingTables,
     window: str = "1 second",
-    delay: str = "10 seconds",
     every: str | None = "1 second",
-    run: str = "run",
+    run: str | None = None,
     outputs: tuple[str, ...] = ("words", "text", "sentiment"),
 ) -> list[StreamingQuery]:
-    """Start the outputs. After a lost checkpoint give `run` a new value."""
-    words = windowed_words(messages, window, delay)
-    sentiment = windowed_sentiment(messages, model, window, delay)
-    plans = {
-        "words": (words, write_words(tables)),
-        "text": (messages, write_recent_text(tables, window, run)),
-        "sentiment": (sentiment, write_sentiment(tables)),
-    }
-    return [
-        plans[output][0]
-        .writeStream.outputMode("append")
-        .option("checkpointLocation", tables.checkpoint(output))
-        .queryName(f"{output}-{run}")
-        .foreachBatch(plans[output][1])
-        .trigger(**trigger_options(every))
-        .start()
-        for output in outputs
-    ]
+    """Start the outputs. `run` is by default the identity of each checkpoint."""
+    spark = messages.sparkSession
+    queries = []
+    for output in outputs:
+        own = run or run_of(spark, tables.checkpoint(output))
+        write = {
+            "words": lambda own: write_words(tables, window, own),
+            "text": lambda own: write_recent_text(tables, window, own),
+            "sentiment": lambda own: write_sentiment(tables, model, window, own),
+        }[output](own)
+        queries.append(
+            messages.writeStream.option("checkpointLocation", tables.checkpoint(output))
+            .queryName(f"{output}-{own}")
+            .foreachBatch(write)
+            .trigger(**trigger_options(every))
+            .start()
+        )
+    return queries
 
 
 def write_micro_batch(model: LinearModel, tables: ServingTables, run: str, show: bool = False):
     """All outputs of one micro-batch.
 
-    The batch time is the newest arrival in the micro-batch, which a retry reproduces. Its digits below
-    the millisecond number the micro-batches, so that two with the same newest arrival stay apart. Texts
+    The batch time is the newest arrival in the micro-batch, which a retry reproduces, and a microsecond
+    for each micro-batch before, so that two with the same newest arrival stay apart and in order. Texts
     are kept in memory or on disk of the executors while the outputs are made; nothing of them comes to
     the driver.
     """
@@ -127,13 +131,13 @@ def write_micro_batch(model: LinearModel, tables: ServingTables, run: str, show:
         newest = messages.agg(F.max(F.unix_millis("arrived_at"))).first()[0]
         if newest is not None:
             key = run_key(run, epoch)
-            batch_ts = F.timestamp_micros(F.lit(newest * 1000 + epoch % 1000))
+            batch_ts = F.timestamp_micros(F.lit(newest * 1000 + epoch))
             stamped = messages.withColumn("batch_ts", batch_ts)
 
             counts = count_words(explode_words(stamped, ["batch_ts"]), ["batch_ts"])
             top = top_words(counts, TOP).select(*WORD_COUNTS.fieldNames()).persist()
             overwrite_batches(top, tables.words, key)
-            replace_latest(messages.sparkSession, top, tables)
+            replace_latest(messages.sparkSession, _newest(top), tables, f"{run}-{epoch:012d}", TOP)
             top.unpersist()
 
             kept = recent_per_batch(stamped, SHOWN).select(*RECENT_TEXT.fieldNames())
@@ -154,10 +158,11 @@ def start_micro_batches(
     model: LinearModel,
     tables: ServingTables,
     every: str | None = "1 second",
-    run: str = "run",
+    run: str | None = None,
     show: bool = False,
 ) -> StreamingQuery:
-    """One query for all outputs. `messages` also carries `arrived_at`."""
+    """One query for all outputs. `messages` also carries `arrived_at`. `run` is by default the checkpoint's identity."""
+    run = run or run_of(messages.sparkSession, tables.checkpoint("all"))
     return (
         messages.writeStream.option("checkpointLocation", tables.checkpoint("all"))
         .queryName(f"all-{run}")

@@ -19,11 +19,12 @@ def good_messages(
 ) -> DataFrame:
     """(id, event_ts, arrived_at, created_at, author, text) of non-empty messages in one language.
 
-    `time` says which clock makes the batches: "created_at" of the message or "arrived_at".
+    `time` says which clock makes the batches: "created_at" of the message, or "arrived_at", which also stands in for
+    a missing or unreadable "created_at".
     """
     good, _ = split_bad(decoded(payloads, literal))
     if time == "created_at":
-        event_ts = parse_created_at(F.col("created_at"))
+        event_ts = F.coalesce(parse_created_at(F.col("created_at")), F.col("arrived_at"))
     else:
         event_ts = F.col(time)
     return keep_messages(good, lang).select(

@@ -1,18 +1,24 @@
-"""Serving tables: writing them so that a repeated batch changes nothing, and reading them back."""
+"""Serving tables: parts that micro-batches add, and reading them back as sums.
 
+Every micro-batch writes what it adds to its batches under its own key. Late messages and batches that are still open thus need no rewriting:
+the next reader sums the parts. A retried micro-batch replaces its own parts.
+"""
+
+import uuid
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodstream.operators.recent import recent_per_batch
-from moodstream.operators.words import newest_batches
+from moodstream.operators.words import top_words
 from moodstream.schemas import RECENT_TEXT, SENTIMENT_HISTORY, WORD_COUNTS
 
 # Partition columns. The date lets a reader skip old batches; the key is what a rewrite replaces.
-DATE, KEY = "batch_date", "batch_key"
+DATE, KEY, VERSION = "batch_date", "batch_key", "version"
+EPOCH_DIGITS = 12
 
 
 @dataclass(frozen=True)
@@ -45,24 +51,38 @@ class ServingTables:
         return f"{self.folder}/checkpoints/{output}"
 
 
-def window_key() -> Column:
-    """Key of a time window: a rerun of the window replaces it, whichever job run it comes from."""
-    return F.date_format("batch_ts", "HHmmss.SSS")
-
-
 def run_key(run: str, epoch: int) -> Column:
     """Key of one micro-batch of one run: a retry of the micro-batch replaces it."""
-    return F.lit(f"{run}-{epoch:012d}")
+    return F.lit(f"{run}-{epoch:0{EPOCH_DIGITS}d}")
 
 
-def overwrite_batches(rows: DataFrame, path: str, key: Column) -> None:
-    """Write batches, replacing those with the same date and key and no others.
+def utc_date(ts: str) -> Column:
+    """Date in UTC of an instant as text, whatever the session's time zone."""
+    days = F.floor(F.unix_micros(ts) / 86_400_000_000).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), days).cast("string")
 
-    Batches are short (top lists, sums), so each goes to one task and becomes one file.
-    """
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the run a checkpoint belongs to, kept beside it: a lost checkpoint gives a new run."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}.run")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    begun = files.exists(jvm.org.apache.hadoop.fs.Path(checkpoint))
+    if not (begun and files.exists(path)):
+        out = files.create(path, True)
+        out.writeUTF(uuid.uuid4().hex)
+        out.close()
+    found = files.open(path)
+    name = found.readUTF()
+    found.close()
+    return name
+
+
+def overwrite_batches(rows: DataFrame, path: str, key: Column) -> None:
+    """Write what a micro-batch adds to its batches, replacing what an earlier try of it has written and nothing else."""
     (
-        rows.withColumns({DATE: F.date_format("batch_ts", "yyyy-MM-dd"), KEY: key})
-        .repartition(DATE, KEY)
+        rows.withColumns({DATE: utc_date("batch_ts"), KEY: key})
+        .repartition(DATE, "batch_ts")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DATE, KEY)
@@ -73,29 +93,53 @@ def overwrite_batches(rows: DataFrame, path: str, key: Column) -> None:
 def read_batches(
     spark: SparkSession, path: str, schema: T.StructType, since_date: str | None = None
 ) -> DataFrame:
-    """A serving table, from a date on if given (only those partitions are listed and read)."""
+    """Parts of a serving table with their run, from a date on if given (only those partitions are read)."""
     keyed = T.StructType(
         schema.fields + [T.StructField(DATE, T.StringType()), T.StructField(KEY, T.StringType())]
     )
     table = spark.read.schema(keyed).parquet(path)
     if since_date is not None:
         table = table.filter(F.col(DATE) >= since_date)
-    return table.drop(DATE, KEY)
+    run = F.expr(f"left({KEY}, length({KEY}) - {EPOCH_DIGITS + 1})")
+    return table.withColumn("run", run).drop(DATE, KEY)
+
+
+def fullest_run(parts: DataFrame, weight: Column) -> DataFrame:
+    """Per batch the parts of one run: the one that has seen most messages.
+
+    After a lost checkpoint a new run reads its input again; its parts must not be added to those of the old run.
+    """
+    totals = parts.groupBy("batch_ts", "run").agg(F.sum(weight).alias("n"))
+    best = totals.groupBy("batch_ts").agg(F.max(F.struct("n", "run")).alias("best"))
+    return parts.join(best.select("batch_ts", "best.run"), ["batch_ts", "run"]).drop("run")
 
 
 def read_sentiment(spark: SparkSession, tables: ServingTables, since_date: str | None = None):
-    """Sentiment history."""
-    return read_batches(spark, tables.sentiment, SENTIMENT_HISTORY, since_date)
+    """Sentiment history: per batch the sum of what the micro-batches added."""
+    parts = read_batches(spark, tables.sentiment, SENTIMENT_HISTORY, since_date)
+    chosen = fullest_run(parts, F.col("negative") + F.col("positive"))
+    return chosen.groupBy("batch_ts").agg(F.sum("negative").alias("negative"), F.sum("positive").alias("positive"))
+
+
+def read_words(
+    spark: SparkSession, tables: ServingTables, since_date: str | None = None, top: int = 100
+) -> DataFrame:
+    """Word count history: the top words per batch of the sum of what the micro-batches added."""
+    parts = read_batches(spark, tables.words, WORD_COUNTS, since_date)
+    summed = fullest_run(parts, F.col("cnt")).groupBy("batch_ts", "word").agg(F.sum("cnt").alias("cnt"))
+    return top_words(summed, top).select(*WORD_COUNTS.fieldNames())
 
 
-def read_words(spark: SparkSession, tables: ServingTables, since_date: str | None = None):
-    """Word count history."""
-    return read_batches(spark, tables.words, WORD_COUNTS, since_date)
+def _snapshots(spark: SparkSession, tables: ServingTables) -> DataFrame:
+    versioned = T.StructType([*WORD_COUNTS.fields, T.StructField(VERSION, T.StringType())])
+    return spark.read.schema(versioned).parquet(tables.latest)
 
 
 def read_latest(spark: SparkSession, tables: ServingTables) -> DataFrame:
     """The `latest` snapshot of the word counts."""
-    return spark.read.schema(WORD_COUNTS).parquet(tables.latest)
+    versions = _snapshots(spark, tables)
+    newest = versions.agg(F.max(VERSION)).first()[0]
+    return versions.filter(F.col(VERSION) == newest).drop(VERSION)
 
 
 def read_recent_text(
@@ -104,19 +148,29 @@ def read_recent_text(
     """k newest messages per batch.
 
     A window may have been fed by several micro-batches, each with its own k newest. A message that a
-    second run has written again counts once.
+    second run has written again counts once; equal messages of one run are different messages.
     """
     stored = read_batches(spark, tables.recent_text, RECENT_TEXT, since_date)
-    return recent_per_batch(stored.dropDuplicates(["batch_ts", "id"]), k)
-
-
-def replace_latest(spark: SparkSession, top: DataFrame, tables: ServingTables) -> None:
-    """Make the newest batch of `top` the snapshot, unless the snapshot is newer."""
-    newest = top.agg(F.max("batch_ts")).first()[0]
-    try:
-        held = read_latest(spark, tables).agg(F.max("batch_ts")).first()[0]
-    except AnalysisException:  # no snapshot yet
-        held = None
-    if newest is not None and (held is None or newest >= held):
-        snapshot = newest_batches(top, 1).select(*WORD_COUNTS.fieldNames()).coalesce(1)
-        snapshot.write.mode("overwrite").parquet(tables.latest)
+    same = [x for x in stored.columns if x != "run"]
+    copy = F.row_number().over(Window.partitionBy("run", *same).orderBy(F.lit(0)))
+    return recent_per_batch(stored.withColumn("copy", copy).drop("run").dropDuplicates().drop("copy"), k)
+
+
+def replace_latest(spark: SparkSession, newest: datetime | None, tables: ServingTables, key: str, top: int = 100) -> None:
+    """Make the newest batch just written the snapshot, unless the snapshot is newer.
+
+    A snapshot is a version folder of its own, and readers take the last version, so there is one at any time.
+    """
+    if newest is None:
+        return
+    micros = f"{(newest - datetime(1970, 1, 1, tzinfo=newest.tzinfo)) // timedelta(microseconds=1):020d}"
+    rows = read_words(spark, tables, day_before(micros), top).filter(F.unix_micros("batch_ts") == int(micros))
+    (
+        rows.withColumn(VERSION, F.lit(f"{micros}-{key}")).coalesce(1)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(VERSION).parquet(tables.latest)
+    )
+
+
+def day_before(micros: str) -> str:
+    """The date in UTC of an instant."""
+    return (datetime(1970, 1, 1) + timedelta(microseconds=int(micros))).strftime("%Y-%m-%d")

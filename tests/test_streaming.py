@@ -49,7 +49,7 @@ def run(spark, inbox, tables, **options):
     messages = good_messages(read_message_files(spark, str(inbox), max_files=1))
     jobs.await_all(
         jobs.start_windows(
-            messages, MODEL, tables, "1 minute", "1 minute", every=None, **options
+            messages, MODEL, tables, "1 minute", every=None, **options
         )
     )
 
@@ -66,20 +66,60 @@ def test_windows(spark, inbox, tmp_path):
     history = {
         minute(r.batch_ts): (r.negative, r.positive) for r in read_sentiment(spark, tables).collect()
     }
-    # Minute 6 is still open; minutes without messages have no row.
-    assert history == {0: (1, 1), 1: (1, 2), 2: (1, 0)}
+    # Minutes without messages have no row.
+    assert history == {0: (1, 1), 1: (1, 2), 2: (1, 0), 6: (1, 0)}
     counts = {(minute(r.batch_ts), r.word): r.cnt for r in read_words(spark, tables).collect()}
     assert counts == {
         (0, "good"): 2, (0, "bad"): 1, (1, "good"): 2, (1, "bad"): 1, (1, "day"): 1, (2, "day"): 1,
+        (6, "late"): 1,
     }
     assert [(minute(r.batch_ts), r.word) for r in read_latest(spark, tables).collect()] == [
-        (2, "day")
+        (6, "late")
     ]
     texts = {
         (minute(r.batch_ts), r.id) for r in read_recent_text(spark, tables, k=2).collect()
     }
     assert texts == {(0, 1), (0, 2), (1, 6), (1, 7), (2, 8), (6, 9)}
-    assert minute(newest_rows(read_sentiment(spark, tables), 1).first().batch_ts) == 2
+    assert minute(newest_rows(read_sentiment(spark, tables), 1).first().batch_ts) == 6
+
+
+def test_no_message_is_lost(spark, tmp_path):
+    """Undated and late messages, null ids, equal messages, several micro-batches, and the hour that autumn repeats."""
+    hour = datetime(2024, 10, 27, 0, 30)  # 02:30 in Paris, and again an hour later
+    dated = lambda text, ts: json.dumps(
+        {"created_at": ts and ts.strftime("%a %b %d %H:%M:%S +0000 %Y"), "text": text, "lang": "en", "user": {"screen_name": "u"}}
+    )
+    files = [
+        [dated("good a", hour), dated("good a", hour), dated("bad b", hour + timedelta(hours=1))],
+        [dated("good c", hour + timedelta(days=3)), dated("bad undated", None), dated("bad d", None)],
+        [dated("good late", hour), dated("good late", hour)],
+    ]
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    for number, lines in enumerate(files):
+        path = inbox / f"{number}.json"
+        path.write_text("\n".join(lines))
+        os.utime(path, (1_730_400_000 + number, 1_730_400_000 + number))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        tables = ServingTables(str(tmp_path / "tables"))
+        messages = good_messages(read_message_files(spark, str(inbox), max_files=1))
+        for _ in range(2):  # the second finds nothing new
+            jobs.await_all(jobs.start_windows(messages, MODEL, tables, "1 hour", every=None))
+        micros = F.unix_micros("batch_ts").alias("m")
+        history = {r.m: (r.negative, r.positive) for r in read_sentiment(spark, tables).select(micros, "negative", "positive").collect()}
+        at = lambda days, hours: int((datetime(2024, 10, 27) + timedelta(days=days, hours=hours) - datetime(1970, 1, 1)).total_seconds() * 10**6)
+        undated = 1_730_400_000 // 3600 * 3600 * 10**6  # the hour of the arrival
+        assert history[at(0, 0)] == (0, 4) and history[at(0, 1)] == (1, 0) and history[at(3, 0)] == (0, 1)
+        assert sum(n + p for n, p in history.values()) == 8
+        assert history[undated] == (2, 0)
+        assert read_recent_text(spark, tables, k=9).count() == 8
+        words = {(r.m, r.word): r.cnt for r in read_words(spark, tables).select(micros, "word", "cnt").collect()}
+        assert words[at(0, 0), "good"] == 4 and words[at(0, 1), "bad"] == 1
+        assert {r.word for r in read_latest(spark, tables).collect()} == {"bad", "undated", "d"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_rerun_after_lost_checkpoint_changes_nothing(spark, inbox, tmp_path):
@@ -150,9 +190,9 @@ def test_stream_and_table_plans_agree(spark, inbox):
         F.col("value").alias("payload"), F.lit(START).alias("arrived_at")
     )
     messages = good_messages(lines)
-    words = jobs.windowed_words(messages, "1 minute", "1 minute").collect()
+    words = jobs.windowed_words(messages, "1 minute").collect()
     assert sum(r.cnt for r in words) == 6
-    history = jobs.windowed_sentiment(messages, MODEL, "1 minute", "1 minute").collect()
+    history = jobs.windowed_sentiment(messages, MODEL, "1 minute").collect()
     assert sorted((r.negative, r.positive) for r in history) == [(1, 1), (1, 1)]
     batched = messages.withColumn("batch_ts", F.date_trunc("minute", "event_ts"))
     assert recent_per_batch(batched, 1).count() == 2
