@@ -4,10 +4,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodstream.functions.scores import (
+    drawn_score,
     font_size,
     half_step,
     normalised_count,
-    random_score,
     score_band,
     size_spread,
 )
@@ -38,7 +38,7 @@ def cloud(
     if scores == "count":
         sized = sized.withColumn("score", normalised_count(count, smallest, spread, compat))
     elif scores == "random":
-        sized = sized.withColumn("score", random_score(seed))
+        sized = sized.withColumn("score", drawn_score(F.col("word"), seed))
     if scores is not None:
         sized = sized.withColumn("colour", score_band(half_step(F.col("score"))))
     if limit is not None:

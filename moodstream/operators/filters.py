@@ -1,6 +1,8 @@
 """Row filters."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,14 +26,15 @@ def keep_messages(messages: DataFrame, lang: str = "en") -> DataFrame:
 def track(messages: DataFrame, subjects: str | Sequence[str]) -> DataFrame:
     """Messages whose text holds any of the subjects, upper or lower case.
 
-    Plain substring tests, which for a handful of subjects are about twice as fast as one pattern.
+    Blanks around a subject and empty subjects do not count; without any subject there is nothing to track.
+    Plain substring tests, which for a handful of subjects are about twice as fast as one pattern; the text is lowered once.
     """
-    if isinstance(subjects, str):
-        subjects = subjects.split(",")
-    wanted = F.lit(False)
-    for subject in subjects:
-        wanted = wanted | F.contains(F.lower("text"), F.lit(subject.lower()))
-    return messages.filter(wanted)
+    given = subjects.split(",") if isinstance(subjects, str) else subjects
+    wanted = [x.strip().lower() for x in given if x.strip()]
+    if not wanted:
+        raise ValueError("no subject to track")
+    lowered = F.transform(F.array(F.lower("text")), lambda text: reduce(or_, (F.contains(text, F.lit(x)) for x in wanted)))
+    return messages.filter(F.get(lowered, F.lit(0)))
 
 
 def without_keyword(words: DataFrame, keyword: str) -> DataFrame:

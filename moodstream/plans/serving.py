@@ -32,6 +32,10 @@ SIZED_SQL = """sized AS (
         FROM words)
 )"""
 
+BAND_SQL = """CASE WHEN step < -1 THEN '#EE6055' WHEN step < -0.5 THEN '#FDE74C'
+                WHEN step < 0 THEN '#FFE6AC' WHEN step < 0.5 THEN '#D0F2DF'
+                ELSE '#9CEC5B' END"""
+
 
 def long_cloud_sql(width: str, order: str) -> str:
     """Long-term cloud with a given normalisation width and choice of words."""
@@ -43,9 +47,7 @@ def long_cloud_sql(width: str, order: str) -> str:
       FROM sized ORDER BY {order} LIMIT 100
     )
     SELECT word, cnt, font_size, score,
-           CASE WHEN step < -1 THEN '#EE6055' WHEN step < -0.5 THEN '#FDE74C'
-                WHEN step < 0 THEN '#FFE6AC' WHEN step < 0.5 THEN '#D0F2DF'
-                ELSE '#9CEC5B' END AS colour
+           {BAND_SQL} AS colour
     FROM scored
     """
 
@@ -57,9 +59,20 @@ def word_cloud_short(spark: SparkSession, folder: str) -> DataFrame:
     return cloud(words.select("word", "cnt")).select("word", "cnt", "font_size")
 
 
-@query()
+@query(
+    f"""
+    WITH {SHORT_CLOUD_SQL}, {SIZED_SQL},
+    drawn AS (
+      SELECT word, cnt, font_size,
+             CAST('0x' || substr(md5('7:' || word), 1, 8) AS BIGINT)::DOUBLE / 2147483648 - 1 AS score
+      FROM sized
+    ),
+    scored AS (SELECT *, round_even(score * 2, 0) / 2 + 0.0::DOUBLE AS step FROM drawn)
+    SELECT word, cnt, font_size, score, {BAND_SQL} AS colour FROM scored
+    """
+)
 def word_cloud_short_coloured(spark: SparkSession, folder: str) -> DataFrame:
-    """The same with colours from random scores."""
+    """The same with colours from scores drawn by word."""
     words = without_keyword(latest_top(spark, folder), KEYWORD)
     return cloud(words.select("word", "cnt"), scores="random", seed=7)
 

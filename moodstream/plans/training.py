@@ -1,7 +1,5 @@
 """Training, evaluation and replay."""
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,16 +90,12 @@ def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
 def labelled_points(spark: SparkSession, folder: str) -> DataFrame:
     """Sum of the feature vectors per label, as (label, index, total)."""
     terms = vocabulary_terms(vocabulary(spark, folder), VOCABULARY + 4)
-    summed = (
-        points_of(labelled(spark, folder), terms)
-        .groupBy("label")
-        .agg(Summarizer.sum(F.col("features")).alias("features"))
+    features = F.unwrap_udt("features")  # the sparse vector as a struct
+    counted = points_of(labelled(spark, folder), terms).select(
+        "label", F.explode(F.arrays_zip(features["indices"].alias("idx"), features["values"].alias("value"))).alias("entry")
     )
-    # The summarizer goes over the mean, so its sums of whole numbers are off in the last digits.
-    return (
-        summed.select("label", F.posexplode(vector_to_array("features")).alias("idx", "value"))
-        .select("label", "idx", F.round("value").cast("bigint").alias("total"))
-        .filter("total > 0")
+    return counted.groupBy("label", F.col("entry.idx").alias("idx")).agg(
+        F.sum(F.col("entry.value").cast("bigint")).alias("total")
     )
 
 

@@ -28,6 +28,9 @@ def test_filters(spark):
     )
     assert [r.id for r in filters.keep_messages(frame).orderBy("id").collect()] == [1, 6]
     assert [r.id for r in filters.track(frame, "news,none").collect()] == [6]
+    assert [r.id for r in filters.track(frame, " news ,,").collect()] == [6]
+    with pytest.raises(ValueError, match="no subject"):
+        filters.track(frame, " , ")
     assert [r.id for r in filters.track(frame, ["HI"]).orderBy("id").collect()] == [1, 4, 5]
     assert [r.id for r in filters.take_first(frame, 2, F.desc("id")).collect()] == [6, 5]
     filled = {r.id: (r.text, r.lang) for r in payload.with_defaults(frame).collect()}
@@ -246,6 +249,8 @@ def test_cloud(spark):
     assert [r.word for r in cloud(frame, "count", 2, compat=True).collect()] == ["c", "b"]
     coloured = cloud(frame, "random", seed=1).collect()
     assert all(r.colour.startswith("#") and -1 <= r.score < 1 for r in coloured)
+    again = cloud(frame.repartition(3), "random", seed=1).collect()
+    assert {r.word: r.score for r in again} == {r.word: r.score for r in coloured}
 
 
 def test_recent_table(spark):
