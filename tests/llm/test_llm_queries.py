@@ -28,7 +28,7 @@ def test_query_agrees_with_sql(spark, con, data, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(x[2:].split("_")[0]) for x in QUERIES) == list(range(1, 11))
+    assert sorted(int(x[2:].split("_")[0]) for x in QUERIES) == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +36,7 @@ def folders(spark, edge, nothing, tmp_path_factory):
     out = {}
     for name, frame in (("edge", edge), ("empty", nothing)):
         folder = str(tmp_path_factory.mktemp(name))
+        frame.selectExpr("doc_id as item_id", "text", "key").coalesce(1).write.parquet(f"{folder}/benchmark.parquet")
         frame.coalesce(2).write.parquet(f"{folder}/documents.parquet")
         pages = frame.selectExpr("doc_id as page_id", "source as url", "text as html", "key", "size")
         pages.coalesce(2).write.parquet(f"{folder}/pages.parquet")
@@ -49,6 +50,8 @@ def test_edge_rows_and_empty_table(spark, folders, rows, name):
     got = found.collect()
     if name.startswith("op4"):
         assert got == []
+    elif name.startswith("op13"):
+        assert {x.lang for x in got} <= {"en", "de", "ja", "und"}
     else:
         key = "page_id" if name.startswith("op8") else "doc_id"
         assert sorted(str(x[key]) for x in got) == sorted(str(x[0]) for x in rows)
