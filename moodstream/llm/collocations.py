@@ -34,7 +34,7 @@ from moodstream.llm.shared import written
 from moodstream.operators.ranking import top_per_group
 
 #: Words and distinct words counted at once, bytes of a text split at once, rows given out at once.
-BLOCK, DISTINCT, BYTES, ROWS = 1 << 21, 1 << 20, 1 << 21, 1 << 16
+BLOCK, DISTINCT, BYTES, ROWS = 1 << 20, 1 << 18, 1 << 20, 1 << 15
 FILTER = 26
 RANGE, SAMPLED = 1 << 18, 20
 _BITS = 21  # of a word's number in a block
