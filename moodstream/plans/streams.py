@@ -1,34 +1,44 @@
 """The stream jobs run over the test tables until these are read to the end."""
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodstream.plans.messages import BATCH
+from moodstream.plans.messages import BATCH, STREAM_SQL, tokens_sql
 from moodstream.plans.registry import query
-from moodstream.plans.sentiment import HISTORY_SQL, MODEL
+from moodstream.plans.sentiment import HISTORY_SQL, MODEL, scored_sql
 from moodstream.plans.serving import SHOWN, recent_per_window_sql
-from moodstream.plans.words import TOP_SQL
-from moodstream.sources.readers import table
+from moodstream.plans.words import TOP, TOP_SQL
+from moodstream.sources.readers import source, table
 from moodstream.streaming.folders import new_folder
-from moodstream.streaming.jobs import await_all, start_micro_batches, start_windows
+from moodstream.streaming.jobs import await_all, start_micro_batches, start_windows, write_windows
 from moodstream.streaming.sources import good_messages
 from moodstream.streaming.tables import (
     ServingTables,
+    compact,
+    read_latest,
     read_recent_text,
     read_sentiment,
     read_words,
 )
 
-def payload_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as a stream of JSON payloads, as a topic would deliver them.
+CHUNKS = 4  # files of the streams that take several micro-batches
+
+
+def payload_stream(spark: SparkSession, folder: str, files: str | None = None, max_files: int | None = None) -> DataFrame:
+    """Events as a stream of JSON payloads, as a topic would deliver them. `files`: a path or pattern in place of the table.
 
     Message times are written in UTC, the time zone of the tables.
     """
     path = f"{folder}/events.parquet"
     documents = table(spark, folder, "documents")
     total = documents.count()
-    # A stream takes no single file as its path, but a pattern that a file or folder fits.
-    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    # A stream takes no single file as its path, but a pattern that only that file or folder fits.
+    events = reader.parquet(files or f"{folder}/events.parque[t]").withColumn("source", source(F.col("_metadata.file_path")))
     carried = events.withColumn("doc_id", F.col("event_id") % total).join(
         documents.select("doc_id", "text", "lang"), "doc_id"
     )
@@ -40,7 +50,15 @@ def payload_stream(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(F.col("user_id").cast("string").alias("screen_name")).alias("user"),
     )
     arrived = F.to_timestamp_ltz(F.concat(F.col("ts").cast("string"), F.lit("Z")))
-    return carried.select(F.to_json(message).alias("payload"), arrived.alias("arrived_at"))
+    return carried.select(F.to_json(message).alias("payload"), arrived.alias("arrived_at"), "source")
+
+
+def chunked(spark: SparkSession, folder: str) -> str:
+    """The events as CHUNKS files by event_id % CHUNKS; the folder they are in."""
+    path = new_folder(spark, "events")
+    events = table(spark, folder, "events").withColumn("chunk", F.col("event_id") % CHUNKS)
+    events.repartition("chunk").write.partitionBy("chunk").parquet(path)
+    return path
 
 
 def utc(ts: str) -> Column:
@@ -86,7 +104,7 @@ def streamed_sentiment_history(spark: SparkSession, folder: str) -> DataFrame:
 @query(recent_per_window_sql(SHOWN))
 def streamed_recent_text(spark: SparkSession, folder: str) -> DataFrame:
     """Recent messages per hour written by the window job."""
-    tables = run_windows(spark, folder, "text")
+    tables = run_windows(spark, folder, "recent_text")
     return read_recent_text(spark, tables, SHOWN).select(
         utc("batch_ts").alias("batch_ts"), "id", "author", "text"
     )
@@ -107,3 +125,114 @@ def streamed_micro_batches(spark: SparkSession, folder: str) -> DataFrame:
     return read_sentiment(spark, tables).agg(
         F.sum("negative").alias("negative"), F.sum("positive").alias("positive")
     )
+
+
+@cache
+def _micro_batches(session: str, folder: str) -> ServingTables:
+    spark = SparkSession.active()
+    tables = ServingTables(new_folder(spark, "streamed-micro"))
+    payloads = payload_stream(spark, folder, f"{chunked(spark, folder)}/chunk=*", max_files=1)
+    await_all([start_micro_batches(good_messages(payloads), MODEL, tables, every=None)])
+    return tables
+
+
+def micro_batches(spark: SparkSession, folder: str) -> ServingTables:
+    """Tables of the micro-batch job after CHUNKS micro-batches; made once per session and folder."""
+    return _micro_batches(spark.sparkContext.applicationId, folder)
+
+
+def shown_time(ts: str) -> Column:
+    """The newest arrival of a micro-batch: its batch time without the microseconds that tell batches apart."""
+    return F.date_trunc("millisecond", utc(ts)).cast("timestamp_ntz")
+
+
+# A chunk is a micro-batch; its time is its newest message.
+MICRO_SQL = f"""{STREAM_SQL},
+micro AS (SELECT *, date_trunc('millisecond', max(ts) OVER (PARTITION BY event_id % {CHUNKS})) AS micro_ts, event_id % {CHUNKS} AS chunk FROM stream),
+micro_counts AS (SELECT chunk, micro_ts, word, count(*) AS cnt
+  FROM (SELECT chunk, micro_ts, unnest({tokens_sql("text")}) AS word FROM micro) GROUP BY chunk, micro_ts, word),
+micro_words AS (SELECT * FROM micro_counts QUALIFY row_number() OVER (PARTITION BY chunk ORDER BY cnt DESC, word) <= {TOP})"""
+
+
+@query(f"WITH {MICRO_SQL} SELECT micro_ts AS batch_ts, word, cnt FROM micro_words")
+def streamed_micro_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Top words of every micro-batch."""
+    words = read_words(spark, micro_batches(spark, folder))
+    return words.select(shown_time("batch_ts").alias("batch_ts"), "word", "cnt")
+
+
+@query(f"WITH {MICRO_SQL} SELECT micro_ts AS batch_ts, word, cnt FROM micro_words WHERE micro_ts = (SELECT max(micro_ts) FROM micro_words)")
+def streamed_micro_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """The snapshot after the last micro-batch."""
+    words = read_latest(spark, micro_batches(spark, folder))
+    return words.select(shown_time("batch_ts").alias("batch_ts"), "word", "cnt")
+
+
+@query(
+    f"""
+    WITH {MICRO_SQL}, {scored_sql("stream", "event_id")}
+    SELECT micro_ts AS batch_ts, count_if(prediction = 0)::BIGINT AS negative, count_if(prediction = 1)::BIGINT AS positive
+    FROM micro JOIN scored USING (event_id) GROUP BY chunk, micro_ts
+    """
+)
+def streamed_micro_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Sentiment of every micro-batch."""
+    history = read_sentiment(spark, micro_batches(spark, folder))
+    return history.select(shown_time("batch_ts").alias("batch_ts"), "negative", "positive")
+
+
+@query(
+    f"""
+    WITH {MICRO_SQL}
+    SELECT micro_ts AS batch_ts, event_id AS id, CAST(user_id AS VARCHAR) AS author, text FROM micro
+    QUALIFY row_number() OVER (PARTITION BY chunk ORDER BY ts DESC, event_id DESC) <= {SHOWN}
+    """
+)
+def streamed_micro_recent(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest messages of every micro-batch."""
+    texts = read_recent_text(spark, micro_batches(spark, folder))
+    return texts.select(shown_time("batch_ts").alias("batch_ts"), "id", "author", "text")
+
+
+@cache
+def _restarted(session: str, folder: str) -> ServingTables:
+    spark = SparkSession.active()
+    tables = ServingTables(new_folder(spark, "streamed-restarted"))
+    files = chunked(spark, folder)
+
+    def run(name: str, chunks: str) -> None:
+        """A run with a checkpoint of its own over some chunks."""
+        messages = good_messages(payload_stream(spark, folder, f"{files}/chunk={chunks}", max_files=1))
+        write = write_windows(MODEL, tables, BATCH, name)
+        stream = messages.writeStream.option("checkpointLocation", tables.checkpoint(name)).foreachBatch(write)
+        await_all([stream.trigger(availableNow=True).start()])
+
+    run("first", "[01]")
+    run("from-start", "[012]")  # the checkpoint is lost: all is read again, and one chunk more
+    compact(spark, tables)
+    run("from-latest", "3")  # lost again: this run begins with what is new
+    return tables
+
+
+def restarted(spark: SparkSession, folder: str) -> ServingTables:
+    """Tables of the window job whose checkpoint was lost twice, compacted in between; made once per session and folder."""
+    return _restarted(spark.sparkContext.applicationId, folder)
+
+
+@query(
+    f"""
+    WITH {HISTORY_SQL}
+    SELECT batch_ts, CAST(negative AS BIGINT) AS negative, CAST(positive AS BIGINT) AS positive
+    FROM history
+    """
+)
+def streamed_restarted(spark: SparkSession, folder: str) -> DataFrame:
+    """Every message counts once, whatever was read again."""
+    history = read_sentiment(spark, restarted(spark, folder))
+    return history.select(utc("batch_ts").alias("batch_ts"), "negative", "positive")
+
+
+@query(f"WITH {TOP_SQL} SELECT * FROM top")
+def streamed_restarted_words(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for the words."""
+    return read_words(spark, restarted(spark, folder)).select(utc("batch_ts").alias("batch_ts"), "word", "cnt")

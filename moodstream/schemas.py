@@ -51,3 +51,14 @@ WORD_COUNTS = T.StructType(
         T.StructField("cnt", T.LongType()),
     ]
 )
+
+# Input that a run has committed: offsets of one partition of a topic, or a file (part and offsets 0).
+COVERED = T.StructType(
+    [
+        T.StructField("run", T.StringType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("part", T.IntegerType()),
+        T.StructField("first", T.LongType()),
+        T.StructField("last", T.LongType()),
+    ]
+)

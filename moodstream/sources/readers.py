@@ -80,9 +80,12 @@ def read_topic(
     servers: str,
     topic: str,
     starting_offsets: str = "latest",
-    max_offsets: int | None = None,
+    max_offsets: int | None = 1_000_000,
 ) -> DataFrame:
-    """Stream of (payload, arrived_at) from a Kafka topic. Needs Spark's Kafka connector package."""
+    """Stream of (payload, arrived_at, source) from a Kafka topic. Needs Spark's Kafka connector package.
+
+    A micro-batch takes max_offsets records at most, so that a backlog is worked off in pieces.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -95,16 +98,28 @@ def read_topic(
 
 
 def topic_payloads(records: DataFrame) -> DataFrame:
-    """Keep the value and the arrival time of topic records."""
+    """Keep the value, the arrival time and the place in the topic of topic records."""
     return records.select(
-        payload_text(F.col("value")).alias("payload"), F.col("timestamp").alias("arrived_at")
+        payload_text(F.col("value")).alias("payload"),
+        F.col("timestamp").alias("arrived_at"),
+        source(F.col("topic"), F.col("partition"), F.col("offset")),
     )
 
 
+def source(stream: Column, part: Column | None = None, offset: Column | None = None) -> Column:
+    """Where a payload comes from: a record of a topic's partition, or a file, which is read as a whole."""
+    none = F.lit(0)
+    return F.struct(
+        stream.cast("string").alias("stream"),
+        (none if part is None else part).cast("int").alias("part"),
+        (none if offset is None else offset).cast("bigint").alias("offset"),
+    ).alias("source")
+
+
 def read_message_files(
-    spark: SparkSession, path: str, max_files: int | None = None
+    spark: SparkSession, path: str, max_files: int | None = 1_000
 ) -> DataFrame:
-    """Stream of (payload, arrived_at) from JSON line files, one message per line.
+    """Stream of (payload, arrived_at, source) from JSON line files, one message per line, max_files at a time.
 
     The arrival time of a file source is the file's modification time.
     """
@@ -114,6 +129,7 @@ def read_message_files(
     return reader.load(path).select(
         F.col("value").alias("payload"),
         F.col("_metadata.file_modification_time").alias("arrived_at"),
+        source(F.col("_metadata.file_path")),
     )
 
 

@@ -1,12 +1,10 @@
 """The stream jobs.
 
-`start_windows` cuts batches by event time: one query per output. A micro-batch adds what it has to each window, so
+`start_windows` cuts batches by event time. A micro-batch adds what it has to each window, so
 there is no state, a late message still counts, and a window that is open at the end is there. `start_micro_batches` takes every micro-batch as a batch
-by itself, as it arrives: one query, whose micro-batch is decoded once and feeds all outputs.
+by itself, as it arrives. Both are one query, whose micro-batch is decoded once, feeds all outputs and is committed once.
 """
 
-from datetime import UTC, datetime, timedelta
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,17 +14,9 @@ from moodstream.operators.model import LinearModel, score_messages
 from moodstream.operators.recent import recent_per_batch
 from moodstream.operators.sentiment import count_predictions, sentiment_history
 from moodstream.operators.words import count_words, explode_words, top_words
-from moodstream.schemas import RECENT_TEXT, SENTIMENT_HISTORY, WORD_COUNTS
-from moodstream.streaming.tables import (
-    ServingTables,
-    overwrite_batches,
-    replace_latest,
-    run_key,
-    run_of,
-)
+from moodstream.streaming.tables import SHOWN, TOP, ServingTables, add_batch, run_of
 
-TOP = 100  # words kept per batch
-SHOWN = 5  # messages kept per batch
+OUTPUTS = ("words", "recent_text", "sentiment")
 
 
 def trigger_options(every: str | None) -> dict:
@@ -50,44 +40,73 @@ def windowed_sentiment(messages: DataFrame, model: LinearModel, window: str) ->
     return history.select(F.col("w.start").alias("batch_ts"), "negative", "positive")
 
 
-def _newest(rows: DataFrame) -> datetime | None:
-    """The newest batch, as an instant in UTC."""
-    micros = rows.agg(F.max(F.unix_micros("batch_ts"))).first()[0]
-    return None if micros is None else datetime(1970, 1, 1, tzinfo=UTC) + timedelta(microseconds=micros)
+def window_outputs(model: LinearModel, window: str, outputs: tuple[str, ...] = OUTPUTS, shown: int = SHOWN):
+    """What a micro-batch adds to its windows, by table."""
 
+    def frames(messages: DataFrame) -> dict[str, DataFrame]:
+        batched = messages.withColumn("batch_ts", window_start(F.col("event_ts"), window))
+        made = {
+            "words": lambda: windowed_words(messages, window),
+            "recent_text": lambda: recent_per_batch(batched, shown),
+            "sentiment": lambda: windowed_sentiment(messages, model, window),
+        }
+        return {name: made[name]() for name in outputs}
 
-def write_words(tables: ServingTables, window: str, run: str, top: int = TOP):
-    """All words of a micro-batch per window into the history, and the newest window's top words into the snapshot."""
+    return frames
 
-    def write(messages: DataFrame, epoch: int) -> None:
-        counts = windowed_words(messages, window).persist()
-        overwrite_batches(counts, tables.words, run_key(run, epoch))
-        replace_latest(messages.sparkSession, _newest(counts), tables, f"{run}-{epoch:012d}", top)
-        counts.unpersist()
 
-    return write
+def micro_batch_outputs(model: LinearModel, epoch: int, show: bool = False):
+    """What a micro-batch is by itself, by table.
 
+    The batch time is the newest arrival in the micro-batch, which a retry reproduces, and a microsecond
+    for each micro-batch before, so that two with the same newest arrival stay apart and in order.
+    """
 
-def write_sentiment(tables: ServingTables, model: LinearModel, window: str, run: str):
-    """Sentiment of a micro-batch per window into the history."""
+    def frames(messages: DataFrame) -> dict[str, DataFrame]:
+        newest = messages.agg(F.max(F.unix_millis("arrived_at"))).first()[0]
+        batch_ts = F.timestamp_micros(F.lit(None if newest is None else newest * 1000 + epoch).cast("bigint"))
+        stamped = messages.withColumn("batch_ts", batch_ts)
+        scored = score_messages(stamped, model).select("batch_ts", "prediction")
+        if show:
+            count_predictions(scored).show()
+        return {
+            "words": top_words(count_words(explode_words(stamped, ["batch_ts"]), ["batch_ts"]), TOP),
+            "recent_text": recent_per_batch(stamped, SHOWN),
+            "sentiment": sentiment_history(scored),
+        }
 
-    def write(messages: DataFrame, epoch: int) -> None:
-        overwrite_batches(windowed_sentiment(messages, model, window), tables.sentiment, run_key(run, epoch))
+    return frames
 
-    return write
 
+def _writer(outputs_of, tables: ServingTables, run: str):
+    """Write all outputs of a micro-batch and commit them together.
 
-def write_recent_text(tables: ServingTables, window: str, run: str, shown: int = SHOWN):
-    """The newest messages per window of a micro-batch; `read_recent_text` merges micro-batches."""
+    Texts are kept in memory or on disk of the executors while the outputs are made; nothing of them comes to
+    the driver.
+    """
 
     def write(messages: DataFrame, epoch: int) -> None:
-        batched = messages.withColumn("batch_ts", window_start(F.col("event_ts"), window))
-        kept = recent_per_batch(batched, shown).select(*RECENT_TEXT.fieldNames())
-        overwrite_batches(kept, tables.recent_text, run_key(run, epoch))
+        messages = messages.persist()
+        try:
+            if not messages.isEmpty():
+                add_batch(messages, tables, run, epoch, outputs_of(epoch))
+        finally:
+            messages.unpersist()
 
     return write
 
 
+def write_windows(model: LinearModel, tables: ServingTables, window: str, run: str, outputs: tuple[str, ...] = OUTPUTS):
+    """All outputs of a micro-batch of the window job."""
+    frames = window_outputs(model, window, outputs)
+    return _writer(lambda epoch: frames, tables, run)
+
+
+def write_micro_batch(model: LinearModel, tables: ServingTables, run: str, show: bool = False):
+    """All outputs of one micro-batch that is a batch by itself."""
+    return _writer(lambda epoch: micro_batch_outputs(model, epoch, show), tables, run)
+
+
 def start_windows(
     messages: DataFrame,
     model: LinearModel,
@@ -95,62 +114,12 @@ def start_windows(
     window: str = "1 second",
     every: str | None = "1 second",
     run: str | None = None,
-    outputs: tuple[str, ...] = ("words", "text", "sentiment"),
+    outputs: tuple[str, ...] = OUTPUTS,
 ) -> list[StreamingQuery]:
-    """Start the outputs. `run` is by default the identity of each checkpoint."""
-    spark = messages.sparkSession
-    queries = []
-    for output in outputs:
-        own = run or run_of(spark, tables.checkpoint(output))
-        write = {
-            "words": lambda own: write_words(tables, window, own),
-            "text": lambda own: write_recent_text(tables, window, own),
-            "sentiment": lambda own: write_sentiment(tables, model, window, own),
-        }[output](own)
-        queries.append(
-            messages.writeStream.option("checkpointLocation", tables.checkpoint(output))
-            .queryName(f"{output}-{own}")
-            .foreachBatch(write)
-            .trigger(**trigger_options(every))
-            .start()
-        )
-    return queries
-
-
-def write_micro_batch(model: LinearModel, tables: ServingTables, run: str, show: bool = False):
-    """All outputs of one micro-batch.
-
-    The batch time is the newest arrival in the micro-batch, which a retry reproduces, and a microsecond
-    for each micro-batch before, so that two with the same newest arrival stay apart and in order. Texts
-    are kept in memory or on disk of the executors while the outputs are made; nothing of them comes to
-    the driver.
-    """
-
-    def write(messages: DataFrame, epoch: int) -> None:
-        messages = messages.persist()
-        newest = messages.agg(F.max(F.unix_millis("arrived_at"))).first()[0]
-        if newest is not None:
-            key = run_key(run, epoch)
-            batch_ts = F.timestamp_micros(F.lit(newest * 1000 + epoch))
-            stamped = messages.withColumn("batch_ts", batch_ts)
-
-            counts = count_words(explode_words(stamped, ["batch_ts"]), ["batch_ts"])
-            top = top_words(counts, TOP).select(*WORD_COUNTS.fieldNames()).persist()
-            overwrite_batches(top, tables.words, key)
-            replace_latest(messages.sparkSession, _newest(top), tables, f"{run}-{epoch:012d}", TOP)
-            top.unpersist()
-
-            kept = recent_per_batch(stamped, SHOWN).select(*RECENT_TEXT.fieldNames())
-            overwrite_batches(kept, tables.recent_text, key)
-
-            scored = score_messages(stamped, model).select("batch_ts", "prediction")
-            history = sentiment_history(scored).select(*SENTIMENT_HISTORY.fieldNames())
-            overwrite_batches(history, tables.sentiment, key)
-            if show:
-                count_predictions(scored).show()
-        messages.unpersist()
-
-    return write
+    """Start the job: one query for all outputs. `run` is by default the identity of the checkpoint."""
+    checkpoint = tables.checkpoint("windows")
+    run = run or run_of(messages.sparkSession, checkpoint)
+    return [_started(messages, write_windows(model, tables, window, run, outputs), checkpoint, f"windows-{run}", every)]
 
 
 def start_micro_batches(
@@ -162,11 +131,16 @@ def start_micro_batches(
     show: bool = False,
 ) -> StreamingQuery:
     """One query for all outputs. `messages` also carries `arrived_at`. `run` is by default the checkpoint's identity."""
-    run = run or run_of(messages.sparkSession, tables.checkpoint("all"))
+    checkpoint = tables.checkpoint("all")
+    run = run or run_of(messages.sparkSession, checkpoint)
+    return _started(messages, write_micro_batch(model, tables, run, show), checkpoint, f"all-{run}", every)
+
+
+def _started(messages: DataFrame, write, checkpoint: str, name: str, every: str | None) -> StreamingQuery:
     return (
-        messages.writeStream.option("checkpointLocation", tables.checkpoint("all"))
-        .queryName(f"all-{run}")
-        .foreachBatch(write_micro_batch(model, tables, run, show))
+        messages.writeStream.option("checkpointLocation", checkpoint)
+        .queryName(name)
+        .foreachBatch(write)
         .trigger(**trigger_options(every))
         .start()
     )

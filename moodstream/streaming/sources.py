@@ -17,7 +17,7 @@ def decoded(payloads: DataFrame, literal: bool = False) -> DataFrame:
 def good_messages(
     payloads: DataFrame, time: str = "created_at", lang: str = "en", literal: bool = False
 ) -> DataFrame:
-    """(id, event_ts, arrived_at, created_at, author, text) of non-empty messages in one language.
+    """(id, event_ts, arrived_at, created_at, author, text) of non-empty messages in one language, and their `source` if payloads have one.
 
     `time` says which clock makes the batches: "created_at" of the message, or "arrived_at", which also stands in for
     a missing or unreadable "created_at".
@@ -27,7 +27,9 @@ def good_messages(
         event_ts = F.coalesce(parse_created_at(F.col("created_at")), F.col("arrived_at"))
     else:
         event_ts = F.col(time)
+    source = ["source"] if "source" in payloads.columns else []
     return keep_messages(good, lang).select(
+        *source,
         "id",
         event_ts.alias("event_ts"),
         "arrived_at",

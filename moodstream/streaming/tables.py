@@ -1,24 +1,35 @@
-"""Serving tables: parts that micro-batches add, and reading them back as sums.
+"""Serving tables: parts that micro-batches add, named by a commit log, and reading them back as sums.
 
-Every micro-batch writes what it adds to its batches under its own key. Late messages and batches that are still open thus need no rewriting:
-the next reader sums the parts. A retried micro-batch replaces its own parts.
+Every micro-batch writes what it adds to its batches into folders of its own and then commits all of them at once, so all
+tables always show the same micro-batches. Late messages and batches that are still open need no rewriting: readers sum the parts.
+
+A commit also says which input it covers: ranges of offsets by topic and partition, or files. A run that reads input again that another run has committed
+(after a lost checkpoint) leaves the covered messages out before it counts, so each message counts once whether the new run starts at the beginning, in the middle or at the end.
+
+The log holds the batch times of every part. Views of the newest batches open only the parts that can hold them, and `compact` merges the parts of closed periods into one, so
+their number does not grow with the history. `vacuum` removes files that no commit names any more.
 """
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodstream.operators.recent import recent_per_batch
-from moodstream.operators.words import top_words
-from moodstream.schemas import RECENT_TEXT, SENTIMENT_HISTORY, WORD_COUNTS
+from moodstream.operators.words import newest_batches, top_words
+from moodstream.schemas import COVERED, RECENT_TEXT, SENTIMENT_HISTORY, WORD_COUNTS
+from moodstream.streaming.log import Conflict, Log, Part, State, newest_cut
+
+TOP = 100  # words kept per batch
+SHOWN = 5  # messages kept per batch
+ATTEMPTS = 20
 
-# Partition columns. The date lets a reader skip old batches; the key is what a rewrite replaces.
-DATE, KEY, VERSION = "batch_date", "batch_key", "version"
-EPOCH_DIGITS = 12
+#: Table name -> row type. `latest` holds the top words of the newest batch.
+SCHEMAS = {"words": WORD_COUNTS, "recent_text": RECENT_TEXT, "sentiment": SENTIMENT_HISTORY, "latest": WORD_COUNTS, "covered": COVERED}
 
 
 @dataclass(frozen=True)
@@ -27,22 +38,6 @@ class ServingTables:
 
     folder: str
 
-    @property
-    def sentiment(self) -> str:
-        return f"{self.folder}/sentiment_history"
-
-    @property
-    def recent_text(self) -> str:
-        return f"{self.folder}/recent_text"
-
-    @property
-    def words(self) -> str:
-        return f"{self.folder}/word_counts"
-
-    @property
-    def latest(self) -> str:
-        return f"{self.folder}/word_counts_latest"
-
     @property
     def quarantine(self) -> str:
         return f"{self.folder}/quarantine"
@@ -51,17 +46,6 @@ class ServingTables:
         return f"{self.folder}/checkpoints/{output}"
 
 
-def run_key(run: str, epoch: int) -> Column:
-    """Key of one micro-batch of one run: a retry of the micro-batch replaces it."""
-    return F.lit(f"{run}-{epoch:0{EPOCH_DIGITS}d}")
-
-
-def utc_date(ts: str) -> Column:
-    """Date in UTC of an instant as text, whatever the session's time zone."""
-    days = F.floor(F.unix_micros(ts) / 86_400_000_000).cast("int")
-    return F.date_add(F.lit("1970-01-01").cast("date"), days).cast("string")
-
-
 def run_of(spark: SparkSession, checkpoint: str) -> str:
     """Name of the run a checkpoint belongs to, kept beside it: a lost checkpoint gives a new run."""
     jvm = spark.sparkContext._jvm
@@ -78,99 +62,209 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
     return name
 
 
-def overwrite_batches(rows: DataFrame, path: str, key: Column) -> None:
-    """Write what a micro-batch adds to its batches, replacing what an earlier try of it has written and nothing else."""
-    (
-        rows.withColumns({DATE: utc_date("batch_ts"), KEY: key})
-        .repartition(DATE, "batch_ts")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DATE, KEY)
-        .parquet(path)
-    )
+def _read(spark: SparkSession, tables: ServingTables, name: str, parts: list[Part]) -> DataFrame:
+    if not parts:
+        return spark.createDataFrame([], SCHEMAS[name])
+    return spark.read.schema(SCHEMAS[name]).parquet(*(f"{tables.folder}/{x.path}" for x in parts))
 
 
-def read_batches(
-    spark: SparkSession, path: str, schema: T.StructType, since_date: str | None = None
-) -> DataFrame:
-    """Parts of a serving table with their run, from a date on if given (only those partitions are read)."""
-    keyed = T.StructType(
-        schema.fields + [T.StructField(DATE, T.StringType()), T.StructField(KEY, T.StringType())]
-    )
-    table = spark.read.schema(keyed).parquet(path)
-    if since_date is not None:
-        table = table.filter(F.col(DATE) >= since_date)
-    run = F.expr(f"left({KEY}, length({KEY}) - {EPOCH_DIGITS + 1})")
-    return table.withColumn("run", run).drop(DATE, KEY)
+def _written(tables: ServingTables, frames: dict[str, DataFrame], mark: str) -> list[Part]:
+    """Write frames as parts, each below its table, and look up their batch times. Empty ones give no part."""
+    paths = {name: f"{name}/{mark}-{uuid.uuid4().hex[:12]}" for name in frames}
+    for name, frame in frames.items():
+        frame.select(SCHEMAS[name].fieldNames()).write.parquet(f"{tables.folder}/{paths[name]}")
+    spark = next(iter(frames.values())).sparkSession
+    time = lambda name: F.unix_micros("batch_ts") if "batch_ts" in SCHEMAS[name].fieldNames() else F.lit(0).cast("bigint")
+    times = [
+        spark.read.schema(SCHEMAS[name]).parquet(f"{tables.folder}/{path}").select(F.lit(name).alias("name"), time(name).alias("t"))
+        for name, path in paths.items()
+    ]
+    found = reduce(DataFrame.unionByName, times).groupBy("name").agg(F.min("t"), F.max("t"), F.count_distinct("t"))
+    return [Part(name, paths[name], *seen) for name, *seen in found.collect()]  # one row per table
 
 
-def fullest_run(parts: DataFrame, weight: Column) -> DataFrame:
-    """Per batch the parts of one run: the one that has seen most messages.
+def uncovered(messages: DataFrame, tables: ServingTables, state: State, run: str) -> DataFrame:
+    """Messages that no other run has committed.
 
-    After a lost checkpoint a new run reads its input again; its parts must not be added to those of the old run.
+    A run goes through a partition's offsets in order, so all between its first and its last committed one is covered.
     """
-    totals = parts.groupBy("batch_ts", "run").agg(F.sum(weight).alias("n"))
-    best = totals.groupBy("batch_ts").agg(F.max(F.struct("n", "run")).alias("best"))
-    return parts.join(best.select("batch_ts", "best.run"), ["batch_ts", "run"]).drop("run")
-
+    if "source" not in messages.columns or not set(state.epochs) - {run}:
+        return messages
+    ranges = _read(messages.sparkSession, tables, "covered", state.of("covered")).filter(F.col("run") != run)
+    ranges = ranges.groupBy("run", "stream", "part").agg(F.min("first").alias("first"), F.max("last").alias("last")).alias("c")
+    place = F.col("source.offset")
+    same = (F.col("source.stream") == F.col("c.stream")) & (F.col("source.part") == F.col("c.part"))
+    return messages.join(ranges, same & place.between(F.col("c.first"), F.col("c.last")), "left_anti")
+
+
+def ranges_of(messages: DataFrame, run: str) -> DataFrame:
+    """(run, stream, part, first, last): the input that messages come from."""
+    return (
+        messages.filter("source is not null")
+        .groupBy("source.stream", "source.part")
+        .agg(F.min("source.offset").alias("first"), F.max("source.offset").alias("last"))
+        .select(F.lit(run).alias("run"), "stream", "part", "first", "last")
+    )
 
-def read_sentiment(spark: SparkSession, tables: ServingTables, since_date: str | None = None):
-    """Sentiment history: per batch the sum of what the micro-batches added."""
-    parts = read_batches(spark, tables.sentiment, SENTIMENT_HISTORY, since_date)
-    chosen = fullest_run(parts, F.col("negative") + F.col("positive"))
-    return chosen.groupBy("batch_ts").agg(F.sum("negative").alias("negative"), F.sum("positive").alias("positive"))
 
+def _snapshot(spark: SparkSession, tables: ServingTables, state: State, words: list[Part], top: int) -> tuple[list[Part], list[str]]:
+    """The part of the new `latest` table and the paths it replaces; nothing if the newest batch is not among the new words."""
+    old = state.of("latest")
+    if not words or old and old[0].last > words[0].last:
+        return [], []
+    newest = words[0].last
+    holding = [x for x in [*state.of("words"), *words] if x.first <= newest <= x.last]
+    rows = _read(spark, tables, "words", holding).filter(F.unix_micros("batch_ts") == newest)
+    summed = rows.groupBy("batch_ts", "word").agg(F.sum("cnt").alias("cnt"))
+    return _written(tables, {"latest": top_words(summed, top).coalesce(1)}, "latest"), [x.path for x in old]
 
-def read_words(
-    spark: SparkSession, tables: ServingTables, since_date: str | None = None, top: int = 100
-) -> DataFrame:
-    """Word count history: the top words per batch of the sum of what the micro-batches added."""
-    parts = read_batches(spark, tables.words, WORD_COUNTS, since_date)
-    summed = fullest_run(parts, F.col("cnt")).groupBy("batch_ts", "word").agg(F.sum("cnt").alias("cnt"))
-    return top_words(summed, top).select(*WORD_COUNTS.fieldNames())
 
+def add_batch(
+    messages: DataFrame, tables: ServingTables, run: str, epoch: int, outputs: Callable[[DataFrame], dict[str, DataFrame]], top: int = TOP
+) -> bool:
+    """Write what the messages of a micro-batch add and commit it; False if that has been done before.
 
-def _snapshots(spark: SparkSession, tables: ServingTables) -> DataFrame:
-    versioned = T.StructType([*WORD_COUNTS.fields, T.StructField(VERSION, T.StringType())])
-    return spark.read.schema(versioned).parquet(tables.latest)
+    `outputs` makes the frames of the tables from the messages that count.
+    """
+    spark = messages.sparkSession
+    log = Log(spark, tables.folder)
+    for _ in range(ATTEMPTS):
+        state = log.state()
+        if state.epochs.get(run, -1) >= epoch:
+            return False
+        counted = uncovered(messages, tables, state, run)
+        frames = outputs(counted)
+        if "source" in messages.columns:
+            frames["covered"] = ranges_of(counted, run)
+        parts = _written(tables, frames, f"{run}-{epoch:012d}")
+        latest, replaced = _snapshot(spark, tables, state, [x for x in parts if x.table == "words"], top)
+        others = {k: v for k, v in state.epochs.items() if k != run}
+        while True:
+            try:
+                log.commit(state, [*parts, *latest], replaced, {run: epoch})
+                return True
+            except Conflict:
+                state = log.state()
+            if {k: v for k, v in state.epochs.items() if k != run} != others or set(replaced) - set(state.parts):
+                break  # another run was there: some of these messages may be covered now
+    raise Conflict(f"{run}, micro-batch {epoch}: other writers came first {ATTEMPTS} times")
+
+
+def read_parts(spark: SparkSession, tables: ServingTables, name: str, newest: int | None = None) -> DataFrame:
+    """All committed rows of a table, or those parts and rows that can belong to the `newest` batches."""
+    parts = Log(spark, tables.folder).state().of(name)
+    cut = None if newest is None else newest_cut(parts, newest)
+    if cut is None:
+        return _read(spark, tables, name, parts)
+    rows = _read(spark, tables, name, [x for x in parts if x.last >= cut])
+    return rows.filter(F.col("batch_ts") >= F.timestamp_micros(F.lit(cut)))
+
+
+def read_sentiment(spark: SparkSession, tables: ServingTables, newest: int | None = None) -> DataFrame:
+    """Sentiment history: per batch the sum of what the micro-batches added. `newest`: of so many batches only."""
+    rows = read_parts(spark, tables, "sentiment", newest)
+    summed = rows.groupBy("batch_ts").agg(F.sum("negative").alias("negative"), F.sum("positive").alias("positive"))
+    return summed if newest is None else newest_batches(summed, newest)
+
+
+def read_word_counts(spark: SparkSession, tables: ServingTables, newest: int | None = None) -> DataFrame:
+    """Words per batch, as far as the job has kept them."""
+    rows = read_parts(spark, tables, "words", newest)
+    if newest is not None:
+        rows = newest_batches(rows, newest)
+    return rows.groupBy("batch_ts", "word").agg(F.sum("cnt").alias("cnt"))
+
+
+def read_words(spark: SparkSession, tables: ServingTables, top: int = TOP, newest: int | None = None) -> DataFrame:
+    """Word count history: the top words per batch."""
+    return top_words(read_word_counts(spark, tables, newest), top).select(*WORD_COUNTS.fieldNames())
 
 
 def read_latest(spark: SparkSession, tables: ServingTables) -> DataFrame:
-    """The `latest` snapshot of the word counts."""
-    versions = _snapshots(spark, tables)
-    newest = versions.agg(F.max(VERSION)).first()[0]
-    return versions.filter(F.col(VERSION) == newest).drop(VERSION)
+    """The `latest` snapshot of the word counts: one part."""
+    return read_parts(spark, tables, "latest")
 
 
-def read_recent_text(
-    spark: SparkSession, tables: ServingTables, k: int = 5, since_date: str | None = None
-) -> DataFrame:
-    """k newest messages per batch.
+def read_recent_text(spark: SparkSession, tables: ServingTables, k: int = SHOWN, newest: int | None = None) -> DataFrame:
+    """k newest messages per batch. A window may have been fed by several micro-batches, each with its own newest."""
+    return recent_per_batch(read_parts(spark, tables, "recent_text", newest), k)
 
-    A window may have been fed by several micro-batches, each with its own k newest. A message that a
-    second run has written again counts once; equal messages of one run are different messages.
-    """
-    stored = read_batches(spark, tables.recent_text, RECENT_TEXT, since_date)
-    same = [x for x in stored.columns if x != "run"]
-    copy = F.row_number().over(Window.partitionBy("run", *same).orderBy(F.lit(0)))
-    return recent_per_batch(stored.withColumn("copy", copy).drop("run").dropDuplicates().drop("copy"), k)
 
+#: How parts become one part that readers can't tell from them.
+MERGED: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "words": lambda rows: rows.groupBy("batch_ts", "word").agg(F.sum("cnt").alias("cnt")),
+    "sentiment": lambda rows: rows.groupBy("batch_ts").agg(F.sum("negative").alias("negative"), F.sum("positive").alias("positive")),
+    "recent_text": lambda rows: recent_per_batch(rows, SHOWN),
+    "covered": lambda rows: rows.groupBy("run", "stream", "part").agg(F.min("first").alias("first"), F.max("last").alias("last")),
+}
 
-def replace_latest(spark: SparkSession, newest: datetime | None, tables: ServingTables, key: str, top: int = 100) -> None:
-    """Make the newest batch just written the snapshot, unless the snapshot is newer.
 
-    A snapshot is a version folder of its own, and readers take the last version, so there is one at any time.
+def compact(spark: SparkSession, tables: ServingTables, period: int = 3600, least: int = 2) -> int:
+    """Merge the parts of closed periods (of so many seconds) into one part a period; the number of parts taken away.
+
+    A period is closed if it ends before the newest batch. Parts that reach into an open one wait. A part that comes later for a closed period is merged
+    the next time. Periods with one part that lies within them are left alone. `covered` becomes one part.
+    """
+    log = Log(spark, tables.folder)
+    state, width = log.state(), period * 1_000_000
+    times = [x.last for x in state.parts.values() if x.table != "covered"]
+    if not times:
+        return 0
+    closed = max(times) // width * width
+    add: list[Part] = []
+    gone: list[str] = []
+    for name, merged in MERGED.items():
+        parts = [x for x in state.of(name) if name == "covered" or x.last < closed]
+        if name == "covered":
+            chosen = parts if len(parts) >= least else []
+        else:
+            alone: dict[int, list[Part]] = {}
+            for x in parts:
+                for at in range(x.first // width, x.last // width + 1):
+                    alone.setdefault(at, []).append(x)
+            chosen = [x for x in parts if x.first // width != x.last // width or len(alone[x.first // width]) >= least]
+        if not chosen:
+            continue
+        rows = merged(_read(spark, tables, name, chosen))
+        gone += [x.path for x in chosen]
+        if name == "covered":
+            add += _written(tables, {name: rows.coalesce(1)}, "compact")
+            continue
+        mark = f"{name}/compact-{uuid.uuid4().hex[:12]}"
+        at = F.floor(F.unix_micros("batch_ts") / width).cast("bigint")
+        rows = rows.withColumn("period", at).repartition("period")
+        rows.write.partitionBy("period").parquet(f"{tables.folder}/{mark}")
+        typed = T.StructType([*SCHEMAS[name].fields, T.StructField("period", T.LongType())])
+        back = spark.read.schema(typed).parquet(f"{tables.folder}/{mark}").select("period", F.unix_micros("batch_ts").alias("t"))
+        seen = back.groupBy("period").agg(F.min("t"), F.max("t"), F.count_distinct("t"))
+        add += [Part(name, f"{mark}/period={at}", *zone) for at, *zone in seen.collect()]  # one row per closed period
+    for _ in range(ATTEMPTS):
+        if not gone:
+            return 0
+        try:
+            log.commit(state, add, gone)
+            return len(gone) - len(add)
+        except Conflict:
+            state = log.state()
+            if set(gone) - set(state.parts):
+                break  # another compaction came first; its parts are as good
+    return 0
+
+
+def vacuum(spark: SparkSession, tables: ServingTables, older_than: int = 86_400) -> int:
+    """Delete folders and log files that the newest state does not need, if they are `older_than` seconds; their number.
+
+    Readers that began within that time still find what they name.
     """
-    if newest is None:
-        return
-    micros = f"{(newest - datetime(1970, 1, 1, tzinfo=newest.tzinfo)) // timedelta(microseconds=1):020d}"
-    rows = read_words(spark, tables, day_before(micros), top).filter(F.unix_micros("batch_ts") == int(micros))
-    (
-        rows.withColumn(VERSION, F.lit(f"{micros}-{key}")).coalesce(1)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(VERSION).parquet(tables.latest)
-    )
-
-
-def day_before(micros: str) -> str:
-    """The date in UTC of an instant."""
-    return (datetime(1970, 1, 1) + timedelta(microseconds=int(micros))).strftime("%Y-%m-%d")
+    log = Log(spark, tables.folder)
+    state, versions = log.state(), log.versions()
+    limit = spark.sql("SELECT unix_millis(current_timestamp())").first()[0] - 1000 * older_than
+    live = {"/".join(x.split("/")[:2]) for x in state.parts}
+    gone = [f"{name}/{x}" for name in SCHEMAS for x, time in log.modified(name).items() if time < limit and f"{name}/{x}" not in live]
+    full = next((x for x in reversed(versions) if log.read(x)["full"]), 0)
+    for x, time in log.modified("log").items():
+        if time < limit and (x.endswith(".draft") or x.endswith(".json") and x[:-5].isdigit() and int(x[:-5]) < full):
+            gone.append(f"log/{x}")
+    for path in gone:
+        log.delete(path)
+    return len(gone)
