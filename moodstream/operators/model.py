@@ -132,16 +132,57 @@ def train_model(
     small sample is put into few tasks, as starting tasks would take most of every iteration; a large
     one keeps all of its partitions.
     """
-    points = points.select("label", "features")
-    tasks = -(-points.select("label").count() // points_per_task)
-    return LogisticRegression(
-        maxIter=max_iter,
-        tol=tol,
-        regParam=reg,
-        elasticNetParam=0.0,
-        fitIntercept=False,
-        standardization=False,
-    ).fit(points.coalesce(max(1, tasks)))
+    points = points.select("label", "features").persist()
+    try:
+        tasks = -(-points.count() // points_per_task)  # makes the features, in all tasks of their plan
+        return LogisticRegression(
+            maxIter=max_iter,
+            tol=tol,
+            regParam=reg,
+            elasticNetParam=0.0,
+            fitIntercept=False,
+            standardization=False,
+        ).fit(points.coalesce(max(1, tasks)))
+    finally:
+        points.unpersist()
+
+
+def long_points(points: DataFrame) -> DataFrame:
+    """(id, idx, tf) of points (id, label, features): one row per term of a point."""
+    features = F.unwrap_udt("features")  # the sparse vector as a struct
+    entries = F.arrays_zip(features["indices"].alias("idx"), features["values"].alias("tf"))
+    return points.select("id", F.explode(entries).alias("entry")).select("id", "entry.idx", "entry.tf")
+
+
+def residuals(points: DataFrame, counts: DataFrame, weights: DataFrame) -> DataFrame:
+    """(id, margin, label, residual) at given (idx, weight): the probability of class 1 less the label."""
+    margins = counts.join(weights, "idx").groupBy("id").agg(F.sum(F.col("tf") * F.col("weight")).alias("margin"))
+    placed = points.select("id", "label").join(margins, "id", "left").na.fill(0.0, ["margin"])
+    return placed.withColumn("residual", 1 / (1 + F.exp(-F.col("margin"))) - F.col("label"))
+
+
+def gradient(points: DataFrame, weights: DataFrame, reg: float = 0.01) -> DataFrame:
+    """(idx, gradient) of the penalised mean log loss at given (idx, weight), for every weight.
+
+    0 everywhere at the weights that `train_model` looks for. Works on tables of any size: terms meet weights, margins are summed by point, and
+    residuals meet the terms again.
+    """
+    counts = long_points(points)
+    judged = residuals(points, counts, weights).select("id", "residual")
+    size = points.agg(F.count("*")).scalar()
+    sums = counts.join(judged, "id").groupBy("idx").agg(F.sum(F.col("tf") * F.col("residual")).alias("total"))
+    mean = F.coalesce(F.col("total"), F.lit(0.0)) / size
+    return weights.join(sums, "idx", "left").select("idx", (mean + reg * F.col("weight")).alias("gradient"))
+
+
+def loss(points: DataFrame, weights: DataFrame, reg: float = 0.01) -> DataFrame:
+    """One row `loss`: the penalised mean log loss at given (idx, weight)."""
+    judged = residuals(points, long_points(points), weights)
+    signed = F.when(F.col("label") == 1, F.col("margin")).otherwise(-F.col("margin"))
+    # log(1 + exp(-x)) without overflow for large -x
+    each = F.greatest(-signed, F.lit(0.0)) + F.log1p(F.exp(-F.abs(signed)))
+    penalty = weights.agg((F.lit(reg / 2) * F.sum(F.col("weight") * F.col("weight"))).alias("penalty"))
+    return judged.agg(F.avg(each).alias("mean")).select((F.col("mean") + penalty.scalar()).alias("loss"))
 
 
 def predict(model: LogisticRegressionModel, points: DataFrame) -> DataFrame:

@@ -12,8 +12,8 @@ from moodstream.plans.serving import SHOWN, recent_per_window_sql
 from moodstream.plans.words import TOP, TOP_SQL
 from moodstream.sources.readers import source, table
 from moodstream.streaming.folders import new_folder
-from moodstream.streaming.jobs import await_all, start_micro_batches, start_windows, write_windows
-from moodstream.streaming.sources import good_messages
+from moodstream.streaming.jobs import await_all, start_final_words, start_micro_batches, start_windows, write_windows
+from moodstream.streaming.sources import delivered_once, good_messages
 from moodstream.streaming.tables import (
     ServingTables,
     compact,
@@ -236,3 +236,49 @@ def streamed_restarted(spark: SparkSession, folder: str) -> DataFrame:
 def streamed_restarted_words(spark: SparkSession, folder: str) -> DataFrame:
     """The same for the words."""
     return read_words(spark, restarted(spark, folder)).select(utc("batch_ts").alias("batch_ts"), "word", "cnt")
+
+
+def delivery(spark: SparkSession, folder: str, path: str, number: int) -> None:
+    """Write one more file of events: about a week each, and of every tenth event the week before, which comes late."""
+    week = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (7 * 86_400 * 1_000_000))
+    events = table(spark, folder, "events").withColumn("week", week)
+    first = events.agg(F.min("week")).scalar()
+    due = F.col("week") - first + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    events.filter(due == number).drop("week").coalesce(1).write.mode("append").parquet(path)
+
+
+WEEKS = 7  # files: January in calendar weeks, and the late ones
+
+
+@query(
+    f"""
+    WITH {TOP_SQL}, seen AS (SELECT max(ts) AS newest FROM stream)
+    SELECT top.* FROM top, seen WHERE batch_ts + INTERVAL 1 HOUR <= newest - INTERVAL 15 DAY
+    """
+)
+def streamed_final_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Top words of every hour that is closed, written once, though a tenth of the messages comes a week late."""
+    path, tables = new_folder(spark, "deliveries"), ServingTables(new_folder(spark, "streamed-final"))
+    for number in range(WEEKS):  # one after the other: files are taken by their time
+        delivery(spark, folder, path, number)
+    messages = good_messages(payload_stream(spark, folder, path, max_files=1))
+    await_all([start_final_words(messages, tables, BATCH, "15 days", every=None)])
+    return read_words(spark, tables).select(utc("batch_ts").alias("batch_ts"), "word", "cnt")
+
+
+@query(
+    f"""
+    WITH {HISTORY_SQL}
+    SELECT batch_ts, CAST(negative AS BIGINT) AS negative, CAST(positive AS BIGINT) AS positive
+    FROM history
+    """
+)
+def streamed_delivered_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Sentiment history of a stream that delivers every message twice, with a restart in between."""
+    path, tables = new_folder(spark, "deliveries"), ServingTables(new_folder(spark, "streamed-once"))
+    for number in range(2 * WEEKS):
+        delivery(spark, folder, path, number // 2 if number < WEEKS else number - WEEKS)
+        if number in (WEEKS - 1, 2 * WEEKS - 1):  # the first weeks twice, then all of them once more
+            messages = delivered_once(good_messages(payload_stream(spark, folder, path, max_files=4)), "60 days")
+            await_all(start_windows(messages, MODEL, tables, BATCH, every=None, outputs=("sentiment",)))
+    return read_sentiment(spark, tables).select(utc("batch_ts").alias("batch_ts"), "negative", "positive")

@@ -14,9 +14,11 @@ from moodstream.plans.messages import (
     tokens_sql,
 )
 from moodstream.plans.registry import query
+from moodstream.sources.arrays import read_arrays, write_arrays
 from moodstream.sources.payload import decode_payload as decode
 from moodstream.sources.payload import encode_payload, payload_text, with_defaults
 from moodstream.sources.readers import split_bad_labels, split_labelled_lines, table
+from moodstream.streaming.folders import new_folder
 
 SUBJECTS = "great,Under,@"
 FIRST = 100
@@ -149,6 +151,14 @@ def track_subjects(spark: SparkSession, folder: str) -> DataFrame:
     return track(messages(spark, folder), SUBJECTS).select("id", "lang", "text")
 
 
+@query("SELECT doc_id AS id, lang, text, source AS screen_name FROM documents")
+def message_array(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages written as JSON arrays and read back by byte ranges."""
+    path = new_folder(spark, "arrays")
+    write_arrays(messages(spark, folder), path)
+    return read_arrays(spark, path).select("id", "lang", "text", F.col("user.screen_name").alias("screen_name"))
+
+
 @query(f"SELECT doc_id AS id, lang, text FROM documents ORDER BY doc_id LIMIT {FIRST}")
 def limit_n(spark: SparkSession, folder: str) -> DataFrame:
     """Stop after a number of messages."""

@@ -8,7 +8,9 @@ from moodstream.operators.features import vocabulary_terms
 from moodstream.operators.model import (
     confusion,
     export_row,
+    gradient,
     load_linear_model,
+    loss,
     predict,
     replay,
     score_messages,
@@ -19,7 +21,7 @@ from moodstream.operators.model import (
 from moodstream.operators.ranking import numbered
 from moodstream.plans.messages import english, placeholders_sql, spread, tokens_sql
 from moodstream.plans.registry import query
-from moodstream.plans.sentiment import LEXICON, MODEL, scored_sql
+from moodstream.plans.sentiment import LEXICON, LEXICON_SQL, MODEL, scored_sql
 from moodstream.plans.words import VOCABULARY, VOCABULARY_SQL, vocabulary
 from moodstream.sources.readers import read_model, table
 from moodstream.streaming.folders import new_folder, written
@@ -126,6 +128,58 @@ def train_and_confuse(spark: SparkSession, folder: str) -> DataFrame:
     return confusion(predict(train_model(train), test))
 
 
+REG = 0.01
+
+GRADIENT_SQL = f"""{VOCABULARY_SQL}, {LABELLED_SQL}, {LEXICON_SQL},
+known AS (SELECT idx, coalesce(weight, 0.0) AS weight FROM vocabulary LEFT JOIN lexicon ON word = term),
+counts AS (
+  SELECT id, idx, count(*) AS tf FROM (SELECT id, unnest({tokens_sql(placeholders_sql('text'))}) AS word FROM labelled)
+  JOIN vocabulary ON word = term GROUP BY id, idx
+),
+margins AS (
+  SELECT id, sentiment, coalesce(margin, 0.0) AS margin FROM labelled
+  LEFT JOIN (SELECT id, sum(tf * weight) AS margin FROM counts JOIN known USING (idx) GROUP BY id) USING (id)
+)"""
+
+
+def at_lexicon(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Points of the labelled documents, and (idx, weight) of the lexicon's terms; other terms weigh 0."""
+    terms = written(vocabulary(spark, folder), "vocabulary")
+    points = points_of(labelled(spark, folder), vocabulary_terms(terms, VOCABULARY + 4)).select("id", "label", "features")
+    lexicon = spark.createDataFrame(list(LEXICON.items()), "term string, weight double")
+    return points, terms.join(lexicon, "term", "left").select("idx", F.coalesce("weight", F.lit(0.0)).alias("weight"))
+
+
+@query(
+    f"""
+    WITH {GRADIENT_SQL},
+    sums AS (SELECT idx, sum(tf * (1 / (1 + exp(-margin)) - sentiment)) AS total FROM counts JOIN margins USING (id) GROUP BY idx)
+    SELECT CAST(idx AS INTEGER) AS idx,
+           CAST(floor((coalesce(total, 0.0) / (SELECT count(*) FROM labelled) + {REG}::DOUBLE * weight) * 1000000 + 0.5) AS BIGINT) AS millionths
+    FROM known LEFT JOIN sums USING (idx)
+    """
+)
+def loss_gradient(spark: SparkSession, folder: str) -> DataFrame:
+    """Gradient of the training objective at the lexicon's weights, in millionths."""
+    found = gradient(*at_lexicon(spark, folder), REG)
+    millionths = F.floor(F.col("gradient") * 1_000_000 + 0.5).cast("bigint")
+    return found.select(F.col("idx").cast("int").alias("idx"), millionths.alias("millionths"))
+
+
+@query(
+    f"""
+    WITH {GRADIENT_SQL}
+    SELECT CAST(floor((avg(greatest(-signed, 0.0) + ln(1 + exp(-abs(signed)))) + {REG / 2}::DOUBLE * (SELECT sum(weight * weight) FROM known))
+           * 1000000 + 0.5) AS BIGINT) AS millionths
+    FROM (SELECT CASE WHEN sentiment = 1 THEN margin ELSE -margin END AS signed FROM margins)
+    """
+)
+def training_loss(spark: SparkSession, folder: str) -> DataFrame:
+    """The training objective at the lexicon's weights, in millionths."""
+    found = loss(*at_lexicon(spark, folder), REG)
+    return found.select(F.floor(F.col("loss") * 1_000_000 + 0.5).cast("bigint").alias("millionths"))
+
+
 @query(
     f"""
     WITH draws AS (

@@ -88,7 +88,7 @@ def _writer(outputs_of, tables: ServingTables, run: str):
     def write(messages: DataFrame, epoch: int) -> None:
         messages = messages.persist()
         try:
-            if not messages.isEmpty():
+            if messages.count():  # reads all of it, as state above needs, also where the micro-batch is known already
                 add_batch(messages, tables, run, epoch, outputs_of(epoch))
         finally:
             messages.unpersist()
@@ -136,6 +136,25 @@ def start_micro_batches(
     return _started(messages, write_micro_batch(model, tables, run, show), checkpoint, f"all-{run}", every)
 
 
+def final_words(messages: DataFrame, window: str, delay: str) -> DataFrame:
+    """(batch_ts, word, cnt) of windows that no message can reach any more.
+
+    Counts are state by window and word, spread over the tasks by both, so a window that holds a third of all messages is
+    many small keys. A window leaves the state when the newest event is `delay` past its end; messages that come later are dropped.
+    """
+    return windowed_words(messages.withWatermark("event_ts", delay), window)
+
+
+def start_final_words(
+    messages: DataFrame, tables: ServingTables, window: str = "1 second", delay: str = "1 minute", every: str | None = "1 second", run: str | None = None
+) -> StreamingQuery:
+    """Write the top words of every window once, when it is closed. The state is bounded by the watermark, the table by the top words."""
+    checkpoint = tables.checkpoint("final-words")
+    run = run or run_of(messages.sparkSession, checkpoint)
+    write = _writer(lambda epoch: lambda counts: {"words": top_words(counts, TOP)}, tables, run)
+    return _started(final_words(messages, window, delay), write, checkpoint, f"final-words-{run}", every)
+
+
 def _started(messages: DataFrame, write, checkpoint: str, name: str, every: str | None) -> StreamingQuery:
     return (
         messages.writeStream.option("checkpointLocation", checkpoint)

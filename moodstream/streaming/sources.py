@@ -42,3 +42,13 @@ def good_messages(
 def bad_payloads(payloads: DataFrame, literal: bool = False) -> DataFrame:
     """Payloads for the quarantine output."""
     return split_bad(decoded(payloads, literal))[1]
+
+
+def delivered_once(messages: DataFrame, within: str = "1 hour") -> DataFrame:
+    """A stream of messages without repeated deliveries: of those with the same id that arrive `within` that time, the first.
+
+    Ids are state until the newest arrival is that much later. A message without id has nothing to be known by, so it is kept.
+    """
+    known = F.coalesce(F.col("id").cast("string"), F.uuid())
+    watched = messages.withColumn("_delivery", known).withWatermark("arrived_at", within)
+    return watched.dropDuplicatesWithinWatermark(["_delivery"]).drop("_delivery")
