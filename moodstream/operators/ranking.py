@@ -5,6 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from moodstream.streaming.folders import written
+
 
 def top_per_group(
     frame: DataFrame, by: str | Sequence[str], order: Sequence[Column], k: int
@@ -43,6 +45,17 @@ def numbered(frame: DataFrame, order: Column, chunk: Column, name: str = "idx")
     )
 
 
+def numbered_by_ranges(frame: DataFrame, *order: str | Column, name: str = "idx") -> DataFrame:
+    """Number rows 0, 1, 2, ... by an order of any kind, however sparse or skewed, in parallel.
+
+    Spark samples the order and deals the rows into ranges of about equal size; the ranges are written, so that they stay what they are, and numbered like chunks.
+    Equal rows get different numbers.
+    """
+    dealt = frame.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    by = F.struct(*((F.col(x) if isinstance(x, str) else x).alias(f"o{k}") for k, x in enumerate(order)))
+    return numbered(written(dealt, "ranges"), by, F.col("_range"), name).drop("_range")
+
+
 def trailing_sum(
     frame: DataFrame, idx: str, values: Sequence[str], n: int, block_rows: int = 4096
 ) -> DataFrame:

@@ -1,6 +1,6 @@
 """Decoding, filtering and text normalisation."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodstream.functions.clock import descending_time_key
@@ -13,11 +13,11 @@ from moodstream.plans.messages import (
     spread,
     tokens_sql,
 )
-from moodstream.plans.registry import query
+from moodstream.plans.registry import SQL, query
 from moodstream.sources.arrays import read_arrays, write_arrays
 from moodstream.sources.payload import decode_payload as decode
-from moodstream.sources.payload import encode_payload, payload_text, with_defaults
-from moodstream.sources.readers import split_bad_labels, split_labelled_lines, table
+from moodstream.sources.payload import encode_payload, literal_to_json, payload_text, with_defaults
+from moodstream.sources.readers import read_labelled, split_bad_labels, split_labelled_lines, table
 from moodstream.streaming.folders import new_folder
 
 SUBJECTS = "great,Under,@"
@@ -151,6 +151,45 @@ def track_subjects(spark: SparkSession, folder: str) -> DataFrame:
     return track(messages(spark, folder), SUBJECTS).select("id", "lang", "text")
 
 
+def literal(text: Column) -> Column:
+    """A text as Python writes it."""
+    plain = text
+    for sign, escape in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        plain = F.replace(plain, F.lit(sign), F.lit(escape))
+    double = F.contains(plain, F.lit("'")) & ~F.contains(plain, F.lit('"'))
+    single = F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(text.isNull(), "None").when(double, F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(single)
+
+
+@query(SQL["decode_payload"])
+def decode_literal(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with messages as Python literals, the form of older producers' topics."""
+    given = spread(messages(spark, folder))
+    payload = F.concat(
+        F.lit("{'id': "), F.col("id").cast("string"), F.lit(", 'text': "), literal(F.col("text")), F.lit(", 'lang': "), literal(F.col("lang")),
+        F.lit(", 'truncated': False, 'geo': None, 'user': {'screen_name': "), literal(F.col("user.screen_name")), F.lit(", 'verified': True}}"),
+    )
+    cut = F.when(F.col("id") % 10 == 3, F.expr("left(payload, length(payload) - 1)"))
+    payloads = given.select("id", payload.alias("payload")).select(F.coalesce(cut, "payload").alias("payload"))
+    found = decode(payloads.withColumn("payload", literal_to_json("payload")))
+    good = lambda name: F.when(~F.col("is_bad"), F.col(name))
+    return found.select(
+        good("id").alias("id"), good("text").alias("text"), good("lang").alias("lang"), good("user.screen_name").alias("screen_name"), "is_bad"
+    )
+
+
+@query(SQL["labelled_sample"])
+def labelled_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The labelled sample written as text files and read back; a line break within a text travels as another sign."""
+    path = new_folder(spark, "labelled")
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    texts = table(spark, folder, "documents").select("doc_id", "text")
+    line = F.concat_ws(",", F.col("quality").cast("string"), F.replace("text", F.lit("\n"), F.lit("\x0b")))
+    labels.join(texts, "doc_id").select(line.alias("value")).write.option("lineSep", "\n").text(path)
+    good, _ = split_bad_labels(read_labelled(spark, path))
+    return good.withColumn("text", F.replace("text", F.lit("\x0b"), F.lit("\n")))
+
+
 @query("SELECT doc_id AS id, lang, text, source AS screen_name FROM documents")
 def message_array(spark: SparkSession, folder: str) -> DataFrame:
     """Messages written as JSON arrays and read back by byte ranges."""

@@ -18,7 +18,7 @@ from moodstream.operators.model import (
     train_model,
     weight_row,
 )
-from moodstream.operators.ranking import numbered
+from moodstream.operators.ranking import numbered, numbered_by_ranges
 from moodstream.plans.messages import english, placeholders_sql, spread, tokens_sql
 from moodstream.plans.registry import query
 from moodstream.plans.sentiment import LEXICON, LEXICON_SQL, MODEL, scored_sql
@@ -197,3 +197,25 @@ def replay_sample(spark: SparkSession, folder: str) -> DataFrame:
     numbers = numbered(documents.select("id"), F.col("id"), F.floor(F.col("id") / 65536))
     draws = table(spark, folder, "events").select(F.col("event_id").alias("draw"))
     return replay(documents, numbers, draws).select("draw", "id", "text")
+
+
+SPARSE = 1_000_003 * 1_000_003  # a factor that spreads ids over the 64-bit numbers
+
+
+@query(
+    f"""
+    WITH draws AS (
+      SELECT k AS draw, CAST(floor({share_sql('k')} * (SELECT count(*) FROM documents)) AS BIGINT)
+               AS idx
+      FROM (SELECT event_id AS k FROM events)
+    ),
+    corpus AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS idx, doc_id * {SPARSE} AS id, text FROM documents)
+    SELECT draw, id, text FROM draws JOIN corpus USING (idx)
+    """
+)
+def replay_sparse(spark: SparkSession, folder: str) -> DataFrame:
+    """The same draws from documents whose ids are far apart."""
+    sparse = (F.col("doc_id") * SPARSE).alias("id")
+    documents = table(spark, folder, "documents").select(sparse, "text")
+    draws = table(spark, folder, "events").select(F.col("event_id").alias("draw"))
+    return replay(documents, numbered_by_ranges(documents.select("id"), "id"), draws).select("draw", "id", "text")

@@ -27,6 +27,8 @@ from moodstream.plans.messages import (
     tokens_sql,
 )
 from moodstream.plans.registry import query
+from moodstream.sources.readers import read_vocabulary
+from moodstream.streaming.folders import new_folder
 
 TOP = 100  # words kept per batch
 LONG = 5  # batches behind the long-term view
@@ -178,6 +180,17 @@ def vocabulary_build(spark: SparkSession, folder: str) -> DataFrame:
     return vocabulary(spark, folder)
 
 
+@query(f"WITH {VOCABULARY_SQL} SELECT term, CAST(idx AS INTEGER) AS idx FROM vocabulary")
+def vocabulary_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The vocabulary's own terms written as a text file, a term a line, and read back with their indices."""
+    path = new_folder(spark, "terms")
+    own = vocabulary(spark, folder).orderBy("idx").limit(VOCABULARY)
+    own.select("term").coalesce(1).write.text(path)
+    # The writer ends the last line too, which leaves an empty term, so that the placeholder terms come one later.
+    found = read_vocabulary(spark, path).filter("term <> ''")
+    return found.select("term", F.when(F.col("idx") < VOCABULARY, F.col("idx")).otherwise(F.col("idx") - 1).alias("idx"))
+
+
 @query(
     f"""
     WITH {VOCABULARY_SQL},

@@ -13,12 +13,13 @@ in the middle of an escape.
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodstream.schemas import MESSAGE
 from moodstream.sources.payload import decode_payload
+from moodstream.sources.ranges import pieces, running
 
 END = "}"
 
@@ -33,39 +34,21 @@ def _summed(piece: Column) -> list[Column]:
     return [((F.size(parts) - 1) % 2).alias("turns"), braces(0).alias("opens_out"), braces(1).alias("opens_in")]
 
 
-def _running(rows: DataFrame, value: str, name: str) -> DataFrame:
-    """Adds `name`: the sum of `value` over all earlier fragments of the file.
-
-    Sums run inside byte ranges; one row per byte range passes the sum over a file.
-    """
-    inside = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    totals = rows.groupBy("file", "block").agg(F.sum(value).alias("_sum"))
-    totals = totals.select("file", "block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
-    own = F.coalesce(F.sum(value).over(inside), F.lit(0))
-    return rows.withColumn("_own", own).join(totals, ["file", "block"]).withColumn(name, F.col("_before") + F.col("_own")).drop("_own", "_before")
-
-
 def array_records(spark: SparkSession, path: str) -> DataFrame:
     """(file, payload): the objects of files that hold one JSON array each, as JSON texts."""
-    rows = spark.read.option("lineSep", END).text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"),  # grows within a byte range
-        F.col("value").alias("piece"),
-    )
+    rows = pieces(spark, path, END)
     rows = rows.select("file", "block", "at", "piece", *_summed(F.col("piece")))
-    rows = _running(rows, "turns", "quotes")
+    rows = running(rows, "turns", "quotes")
     inside = F.col("quotes") % 2 == 1
     ends_outside = (F.col("quotes") + F.col("turns")) % 2 == 0
     opens = F.when(inside, F.col("opens_in")).otherwise(F.col("opens_out"))
     rows = rows.withColumns({"opens": opens, "change": opens - F.when(ends_outside, 1).otherwise(0)})
-    rows = _running(rows, "change", "depth")
+    rows = running(rows, "change", "depth")
     last = ends_outside & (F.col("depth") + F.col("change") == 0)
     rows = rows.filter((F.col("depth") > 0) | (F.col("opens") > 0)).withColumn("ends", last.cast("int"))
-    rows = _running(rows, "ends", "record")
-    pieces = F.array_sort(F.collect_list(F.struct("block", "at", "piece")))
-    whole = rows.groupBy("file", "record").agg(pieces.alias("pieces"), F.max("ends").alias("ends"))
+    rows = running(rows, "ends", "record")
+    in_order = F.array_sort(F.collect_list(F.struct("block", "at", "piece")))
+    whole = rows.groupBy("file", "record").agg(in_order.alias("pieces"))
     text = F.concat(F.array_join(F.transform("pieces", lambda x: x["piece"]), END), F.lit(END))
     # What stands between records: the bracket of the array and commas.
     return whole.select("file", F.regexp_replace(text, r"^[^{]*", "").alias("payload"))

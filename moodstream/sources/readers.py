@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 from moodstream.functions.text import VOCABULARY_TAIL
 from moodstream.schemas import MESSAGE, MODEL
 from moodstream.sources.payload import payload_text
-
-MAX_VOCABULARY_BYTES = 16 * 2**20
+from moodstream.sources.ranges import pieces, running
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -45,20 +44,18 @@ def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """(term, idx) from a file with one term per line, placeholder terms last.
 
     The position in the file is the index, also for the empty term that a final newline leaves.
-    A repeated term keeps its last position. Line numbers need the file in one piece, so its size is
-    checked first; a longer list belongs in a (term, idx) table.
+    A repeated term keeps its last position. Lines are numbered by byte range, so a file may have any size.
     """
-    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
-    if size > MAX_VOCABULARY_BYTES:
-        raise ValueError(f"vocabulary file of {size} bytes; keep it as a table instead")
-    lines = F.split(F.regexp_replace("value", "\r\n?", "\n"), "\n", -1)
-    terms = F.concat(lines, F.array(*[F.lit(t) for t in VOCABULARY_TAIL]))
-    return (
-        spark.read.text(path, wholetext=True)
-        .select(F.posexplode(terms).alias("idx", "term"))
-        .groupBy("term")
-        .agg(F.max("idx").alias("idx"))
-    )
+    lines = running(pieces(spark, path, "\n").withColumn("one", F.lit(1)), "one", "idx")
+    lines = lines.select("size", "piece", F.col("idx").cast("int").alias("idx"))
+    read = F.sum(F.octet_length("piece") + 1)
+    closed = (F.max("size") == read).cast("int")  # ends with a newline
+    total = lines.agg((F.count("*") + F.coalesce(closed, F.lit(1))).alias("n"), F.coalesce(closed, F.lit(1)).alias("closed"))
+    tail = F.array(*[F.struct(F.lit(term).alias("term"), F.lit(nth).alias("nth")) for nth, term in enumerate(["", *VOCABULARY_TAIL], -1)])
+    added = total.select("closed", "n", F.inline(tail)).filter("nth >= 0 or closed = 1")
+    added = added.select("term", (F.col("n") + F.col("nth")).cast("int").alias("idx"))
+    terms = lines.select(F.regexp_replace("piece", "\r$", "").alias("term"), "idx").unionByName(added)
+    return terms.groupBy("term").agg(F.max("idx").alias("idx"))
 
 
 def read_model(spark: SparkSession, path: str) -> DataFrame:

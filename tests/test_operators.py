@@ -1,6 +1,7 @@
 """Operators on hand-made rows."""
 
 import json
+import random
 from collections import Counter
 from datetime import datetime, timedelta
 
@@ -66,6 +67,23 @@ def test_python_literal_payloads(spark):
     assert [r.is_bad for r in rows[1:]] == [True, True]
 
 
+def test_python_literals_of_any_kind(spark):
+    random.seed(5)
+    signs = ["'", '"', "\\", "\n", "\t", "\r", "\x01", "\x03", "\x7f", "é", "日", "🙂", "\U000e0001", "\ue000", "None", "True", "{", "}", ", ", ": ", "u", "x41", "U0001f600", " "]
+    text = lambda: "".join(random.choices(signs, k=random.choice([0, 1, 3, 12])))
+    value = lambda deep: random.choice([text, text, lambda: None, lambda: True, lambda: -1.5e3, lambda: [text() for _ in range(deep)], lambda: {text(): value(deep - 1)} if deep else 7])()
+    rows = [{"id": k, "text": text(), "lang": text(), "user": {"screen_name": text()}, "more": value(2)} for k in range(300)]
+    rows.append({"id": 300, "text": "\n'\"\\" * 20_000, "lang": None, "user": None})
+    frame = spark.createDataFrame([(x["id"], str(x)) for x in rows], "key long, payload string")
+    found = frame.select("key", payload.literal_to_json("payload").alias("json")).collect()
+    assert {x.key: json.loads(x.json) for x in found} == {x["id"]: x for x in rows}
+    decoded = payload.decode_payload(frame.withColumn("payload", payload.literal_to_json("payload")))
+    assert {(x.id, x.text, x.lang) for x in decoded.collect()} == {(x["id"], x["text"], x["lang"]) for x in rows}
+    bad = ["{'text': 'a}", "{'text': it's}", "{'id': 1, 'x': b'a'}", "{'id': 1, }x", "{'id': (1, 2)}", "", "{'id': 1, 'text': '\x01'}"]
+    wrong = spark.createDataFrame([(x,) for x in bad], "payload string")
+    assert all(x.is_bad for x in payload.decode_payload(wrong.withColumn("payload", payload.literal_to_json("payload"))).collect())
+
+
 def test_created_at(spark):
     frame = spark.createDataFrame(
         [("Wed Oct 10 20:19:24 +0000 2018",), ("2024-01-01 00:00:07.5Z",), ("no",)], "c string"
@@ -94,6 +112,32 @@ def test_vocabulary_file(spark, tmp_path):
     }
 
 
+@pytest.mark.parametrize("text", ["the\nof\nI\n", "the\r\nof\r\nthe", "", "\n", "a", "é\n日\n\na\na"])
+def test_vocabulary_file_by_byte_ranges(spark, tmp_path, text):
+    path = tmp_path / "words.txt"
+    path.write_bytes(text.encode())
+    terms = [*text.replace("\r\n", "\n").split("\n"), "pseudoplaceholder", "linkplaceholder", "retweetplaceholder", "hashtagplaceholder"]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = {r.term: r.idx for r in readers.read_vocabulary(spark, str(path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+    assert found == {term: k for k, term in enumerate(terms)}
+
+
+def test_numbers_by_ranges(spark):
+    rows = [((k * 0x9E3779B97F4A7C15) % 2**63 - 2**62, k % 3) for k in range(500)] + [(None, 1), (5, 1), (5, 1)]
+    frame = spark.createDataFrame(rows, "id long, other long").repartition(6)
+    found = ranking.numbered_by_ranges(frame, "id")
+    ordered = sorted(found.collect(), key=lambda x: x.idx)
+    assert [x.idx for x in ordered] == list(range(503))
+    assert [x.id for x in ordered] == [None, *sorted(x for x, _ in rows if x is not None)]
+    assert ranking.numbered_by_ranges(frame.limit(0), "id").collect() == []
+
+
 def test_message_array(spark, tmp_path):
     path = tmp_path / "messages.json"
     path.write_text(json.dumps([{"id": 1, "text": "a"}, {"id": 2, "user": {"screen_name": "x"}}]))
