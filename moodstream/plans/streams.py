@@ -282,3 +282,20 @@ def streamed_delivered_once(spark: SparkSession, folder: str) -> DataFrame:
             messages = delivered_once(good_messages(payload_stream(spark, folder, path, max_files=4)), "60 days")
             await_all(start_windows(messages, MODEL, tables, BATCH, every=None, outputs=("sentiment",)))
     return read_sentiment(spark, tables).select(utc("batch_ts").alias("batch_ts"), "negative", "positive")
+
+
+@query(
+    f"""
+    WITH {HISTORY_SQL}
+    SELECT batch_ts, CAST(negative AS BIGINT) AS negative, CAST(positive AS BIGINT) AS positive
+    FROM history
+    """
+)
+def streamed_every_second(spark: SparkSession, folder: str) -> DataFrame:
+    """The job as it runs for good: triggered every second, with triggers that find nothing, until it is ended."""
+    tables = ServingTables(new_folder(spark, "streamed-second"))
+    messages = good_messages(payload_stream(spark, folder, f"{chunked(spark, folder)}/chunk=*", max_files=2))
+    for job in start_windows(messages, MODEL, tables, BATCH, every="1 second", outputs=("sentiment",)):
+        job.processAllAvailable()
+        job.stop()
+    return read_sentiment(spark, tables).select(utc("batch_ts").alias("batch_ts"), "negative", "positive")

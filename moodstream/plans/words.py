@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from moodstream.functions.text import feature_tokens, tokens
 from moodstream.operators.features import build_vocabulary, join_vocabulary
 from moodstream.operators.features import term_frequency as term_frequency_of
+from moodstream.operators.heavy import heavy_words
 from moodstream.operators.words import (
     as_wide_rows,
     count_words,
@@ -223,3 +224,21 @@ def term_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return term_frequency_of(
         spread(english(spark, folder)), vocabulary(spark, folder), max_terms=VOCABULARY + 4
     )
+
+
+PARTS = 50  # a heavy word makes up a fiftieth of its batch
+
+
+@query(
+    f"""
+    WITH {COUNTS_SQL}
+    SELECT batch_ts, word, CAST(cnt AS BIGINT) AS cnt FROM counts
+    QUALIFY cnt * {PARTS} >= sum(cnt) OVER (PARTITION BY batch_ts)
+    """
+)
+def heavy_words_by_window(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that make up a fiftieth of an hour's words, found by summaries."""
+    per_document = count_words(explode_words(spread(texts(spark, folder), "doc_id"), ["doc_id"]), ["doc_id"])
+    arriving = copies(spark, folder).join(per_document, "doc_id")
+    weighed = arriving.select("batch_ts", "word", (F.col("copies") * F.col("cnt")).alias("cnt"))
+    return heavy_words(weighed, PARTS)
