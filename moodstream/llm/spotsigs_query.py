@@ -5,8 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from moodstream.llm.registry import query, table
 from moodstream.llm.spotsigs import fingerprints_with_next
 
-#: Likeness below this, as far as lengths tell, counts as 0.
-LEAST = 0.1
+#: The likeness asked for is exact, so lengths rule out nothing.
+LEAST = 0.0
 
 
 @query("op10_spotsigs")
