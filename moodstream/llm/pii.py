@@ -73,6 +73,7 @@ _FINDERS = {
     "name": rf"\b(?P<title>{_TITLE})\b\.?[  ](?P<words>{_NAME}(?:[ -]{_NAME}){{0,2}})",
 }
 _ALL = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in _FINDERS.items()))
+_NUMBER = re.compile("|".join(f"(?P<{kind}>{_FINDERS[kind]})" for kind in ("ip", "ssn", "card", "phone")))
 _DIGIT_OR_AT = re.compile(r"[0-9@]")
 _WORDS_OF_SECRETS = ("passw", "pwd", "secret", "token", "api", "sk-", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox")
 _TITLED = tuple(x + end for xs in TITLES.values() for x in xs for end in (" ", ".", "\u00a0"))
@@ -110,6 +111,23 @@ def may_hold(text: str) -> bool:
     return any(x in lower for x in _WORDS_OF_SECRETS)
 
 
+def phone_end(text: str, start: int, end: int) -> int | None:
+    """Where a phone number ends that may have run into the number behind it; None if no part of it has 8 to 15 digits.
+
+    After +1 come ten digits. Elsewhere the number stops before groups that are an address or another number by themselves.
+    """
+    groups = list(re.finditer(r"[0-9]+\)?", text[start:end]))
+    sizes = [sum(c.isdigit() for c in text[start : start + x.end()]) for x in groups]
+    ends = [(start + x.end(), n) for x, n in zip(groups, sizes, strict=True) if 8 <= n <= 15]
+    if groups[0][0] == "1" and text[start] == "+":
+        ends = [x for x in ends if x[1] == 11] or ends
+    for at, _ in ends:
+        behind = _NUMBER.match(text, at + (text[at : at + 1] in (" ", "."))) if at < end else None
+        if behind and (behind["card"] is None or luhn(re.sub("[^0-9]", "", behind[0]))):
+            return at
+    return ends[-1][0] if ends else None
+
+
 def finds(text: str | None) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, kind, canonical value) of everything found, from left to right, without overlap."""
     if not text or not may_hold(text):
@@ -133,6 +151,8 @@ def finds(text: str | None) -> Iterator[tuple[int, int, str, str]]:
         elif kind == "ip":
             if max(map(int, value.split("."))) < 256:
                 yield start, end, kind, ".".join(str(int(x)) for x in value.split("."))
+            else:
+                at = start + 1
         elif kind == "name":
             gender, place = _GENDER[found["title"]], found.start("words")
             words = list(re.finditer(_NAME, found["words"]))
@@ -140,12 +160,17 @@ def finds(text: str | None) -> Iterator[tuple[int, int, str, str]]:
                 own = "surname" if number == len(words) - 1 else f"given:{gender}"
                 yield place + word.start(), place + word.end(), own, word[0].lower()
         else:
-            digits = re.sub("[^0-9]", "", value)
+            if kind == "phone":
+                stop = phone_end(text, start, end)
+                if stop is None:
+                    at = start + 1
+                    continue
+                at = end = stop
+            digits = re.sub("[^0-9]", "", text[start:end])
             if kind == "card" and len(digits) != 16 and not luhn(digits):
+                at = start + 1
                 continue
             if kind == "phone":
-                if not 8 <= len(digits) <= 15:
-                    continue
                 digits = digits[1:] if len(digits) == 11 and digits[0] == "1" else digits
             yield start, end, kind, digits
 
