@@ -1,32 +1,46 @@
 """Byte-level BPE with Spark's higher-order functions.
 
-Encoding. A text is cut by the tokenizer's pattern. A cut that is a token is one id. Any other is written as an array of its
-bytes (as hexadecimal strings), and a fold merges the neighbours of lowest rank, leftmost first, until no pair has a rank. Ranks are a
-constant map in the expression, spread over small maps by checksum so that a lookup compares about one key. Cuts of over SHORT bytes are
-folded as one string whose rounds replace all pairs of the lowest rank at once; for a vocabulary in which every token is
-made of tokens of lower rank the result is the same, and a round is linear.
-
-Words repeat: the `cached` most frequent words of the corpus (of SHORT bytes at most, so the table is bounded at some MB whatever the
-corpus) are folded once, and their ids join the constant map. Words beyond it are folded where they stand. The cache changes no result.
-
-Decoding turns ids into the bytes of their tokens by a constant array and concatenates these pieces.
-
-All of it runs row by row inside the JVM. Only the count of words is shuffled, added up before it.
-
-Null and empty texts: no ids. Columns not named are kept but not read. Repeated rows give equal rows; an empty table an empty result.
+1. Texts are cut by the tokenizer's pattern, once. A cut that is a token is its id. Any other gets a number within its block, some MB of texts of one
+   task, and the block's distinct words are kept beside it. So a text becomes an array of ids and numbers. Both go to one table, bucketed by block.
+2. The distinct words of all blocks are folded, each once: the bytes of a word are an array (of hexadecimal strings), and higher-order functions merge the neighbours
+   of lowest rank, leftmost first, until no pair has a rank. Ranks are a constant map in the expression, spread over small maps by checksum so that a lookup
+   compares about one key. Words of over SHORT bytes are folded as one string whose rounds replace all pairs of the lowest rank at once, which is linear in a
+   round and gives the same result if every token is made of tokens of lower rank; ranks of which that is not true are folded the first way only.
+3. Ids go back to the blocks by joins on the word and on the block, and take the place of the numbers. Texts stay where their bucket is; a word travels
+   once for each block it occurs in, so a frequent word is as many rows as there are blocks and never one for each occurrence.
+
+Decoding turns ids into the bytes of their tokens and concatenates these pieces.
+
+Nothing is collected, and only the vocabulary is held whole: in the plan for folding, and as a dictionary in each task that cuts. A text of over LONG
+characters is cut piece by piece; its ids are one array. A word of very many bytes without a cut is the slow case: rounds times its length.
+
+Null and empty texts: no ids. Columns not named are kept but not read; if one has the name asked for, the ids get that name with `_` behind it. Repeated rows
+give equal rows; an empty table an empty result. Ties can't arise: ranks are distinct, and equal pairs merge from the left.
 """
 
 import base64
 import json
+import uuid
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cache
 
+import numpy as np
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
+
+from moodstream.llm.shared import new_folder
 
 SHORT = 48
-CACHED = 100_000
+#: Bytes of texts in a block, characters of a text that is cut piece by piece, and words in a row.
+BLOCK, LONG, WORDS = 8 << 20, 1 << 22, 1 << 12
+#: Numbers of words in a block begin here; ids are less.
+OWN = 1 << 31
+#: Most buckets that Spark allows by default.
+MOST_BUCKETS = 100_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -58,18 +72,15 @@ class Tokenizer:
     """Expressions for one vocabulary and pattern."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.pattern = f"(?U){pattern}"  # \\s by Unicode, as the pattern means it
+        self.pattern, self.ranks = pattern, ranks
+        self.nested = all(len(t) == 1 or any(max(ranks.get(t[:k], n), ranks.get(t[k:], n)) < n for k in range(1, len(t))) for t, n in ranks.items())
         self.by_bytes = _table({k.hex(): v for k, v in ranks.items()}, "int")
-        pieces = [""] * (max(ranks.values(), default=-1) + 1)
+        self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
-            pieces[rank] = token.hex()
+            self.bytes_of[rank] = token
         constant = lambda rows: F.from_json(F.lit(json.dumps(rows)), "array<string>")
-        self.pieces = constant(pieces)
-        self.little_endian = constant([i.to_bytes(4, "little").hex() for i in range(len(pieces))])
-
-    def words(self, text: Column) -> Column:
-        """The cuts of a text."""
-        return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
+        self.pieces = constant([x.hex() for x in self.bytes_of])
+        self.little_endian = constant([i.to_bytes(4, "little").hex() for i in range(len(self.bytes_of))])
 
     def _fold_short(self, ranks: tuple[Column, int], digits: Column) -> Column:
         """Ids of up to SHORT bytes. parts and the ranks of their pairs are kept side by side; a merge asks for two new ranks only."""
@@ -126,7 +137,9 @@ class Tokenizer:
             F.lower(F.hex(word)),
             lambda digits: F.coalesce(
                 F.nullif(F.array(_found(ranks, digits)), F.array(F.lit(None).cast("int"))),
-                F.when(F.length(digits) <= 2 * SHORT, self._fold_short(ranks, digits)).otherwise(self._fold_long(ranks, digits)),
+                F.when(F.length(digits) <= 2 * SHORT, self._fold_short(ranks, digits)).otherwise(
+                    (self._fold_long if self.nested else self._fold_short)(ranks, digits)
+                ),
             ),
         )
 
@@ -134,22 +147,6 @@ class Tokenizer:
         """Ids of one word."""
         return _let(self.by_bytes[0], lambda slots: self.ids_of((slots, self.by_bytes[1]), word))
 
-    def frequent(self, texts: DataFrame, text: str = "text", cached: int = CACHED) -> dict[str, object]:
-        """Ids of the most frequent words; at most `cached` of SHORT bytes."""
-        counts = texts.select(F.explode(self.words(F.col(text))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-        top = counts.filter((F.octet_length("word") <= SHORT) & (F.col("n") > 1)).orderBy(F.desc("n"), "word").limit(cached)
-        cores = texts.sparkSession.sparkContext.defaultParallelism
-        folded = top.repartition(cores).select("word", F.array_join(self.folded(F.col("word")), ",").alias("ids"))
-        return {row.word: list(map(int, row.ids.split(","))) for row in folded.toLocalIterator()}
-
-    def encoded(self, text: Column, known: dict[str, object] | None = None) -> Column:
-        """Ids of a text. known: ids of some words."""
-        slots, width = _table(known or {}, "array<int>")
-        words = lambda t: F.flatten(
-            F.transform(self.words(text), lambda w: F.coalesce(_found((t["known"], width), w), self.ids_of((t["ranks"], self.by_bytes[1]), w)))
-        )
-        return _let(F.struct(slots.alias("known"), self.by_bytes[0].alias("ranks")), words)
-
     def as_bytes(self, ids: Column) -> Column:
         """Ids as little-endian unsigned 32-bit numbers."""
         return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.little_endian, i)), ""))
@@ -165,6 +162,130 @@ def tokenizer(path: str, pattern: str) -> Tokenizer:
     return Tokenizer(read_ranks(path), pattern)
 
 
-def with_ids(frame: DataFrame, tokens: Tokenizer, text: str = "text", cached: int = CACHED) -> DataFrame:
-    """Adds `ids`, array<int>."""
-    return frame.withColumn("ids", tokens.encoded(F.col(text), tokens.frequent(frame, text, cached)))
+class _Block(dict):
+    """Ids of cuts; a cut that is no token gets the next number."""
+
+    def __init__(self, known: dict[str, int]):
+        super().__init__(known)
+        self.name, self.words, self.size = uuid.uuid4().hex, [], 0
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = OWN + len(self.words)
+        self.words.append(word)
+        return number
+
+
+def _cut(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str]) -> tuple[DataFrame, int]:
+    """(block, row, places, first, words) in buckets by block, and their number: a row of the frame with its ids and numbers, or words of a block."""
+    pattern, known = tokens.pattern, {}
+    for token, rank in tokens.ranks.items():
+        try:
+            known[token.decode()] = rank
+        except UnicodeDecodeError:  # no cut of a text
+            continue
+    row = F.struct(*(F.col(f"`{x}`") for x in keep)).alias("row")
+    given = frame.select(row, F.col(f"`{text}`").cast("string").alias("text"))
+    row_type = given.schema["row"].dataType
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts, block, kind = regex.compile(pattern), _Block(known), None
+        names = ["block", "row", "places", "first", "words"]
+
+        def rows(own: pa.Array, places: list[bytes]) -> pa.RecordBatch:
+            n = len(own)
+            columns = [pa.array([block.name] * n, pa.string()), own, pa.array(places, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.string()))]
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        def words() -> pa.RecordBatch:
+            first = range(0, len(block.words), WORDS)
+            n = len(first)
+            parts = pa.array([block.words[x : x + WORDS] for x in first], pa.list_(pa.string()))
+            columns = [pa.array([block.name] * n, pa.string()), pa.nulls(n, kind), pa.nulls(n, pa.binary()), pa.array(first, pa.int32()), parts]
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        for batch in batches:
+            kind = batch.column(0).type
+            start, places = 0, []
+            for i, value in enumerate(batch.column(1)):
+                own = value.as_py() or ""
+                found = cuts.findall(own) if len(own) < LONG else (x[0] for x in cuts.finditer(own))
+                places.append(np.fromiter(map(block.__getitem__, found), "<u4").tobytes())
+                block.size += len(own)
+                if block.size >= BLOCK:
+                    yield rows(batch.column(0).slice(start, i + 1 - start), places)
+                    yield words()
+                    start, places, block = i + 1, [], _Block(known)
+            yield rows(batch.column(0).slice(start), places)
+        if block.words:
+            yield words()
+
+    schema = StructType(
+        [
+            StructField("block", StringType()),
+            StructField("row", row_type),
+            StructField("places", BinaryType()),
+            StructField("first", IntegerType()),
+            StructField("words", ArrayType(StringType())),
+        ]
+    )
+    spark = frame.sparkSession
+    size = frame.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
+    buckets = min(MOST_BUCKETS, max(1, 2 * size // BLOCK))
+    coded = given.mapInArrow(cut, schema)
+    name = f"bpe_{uuid.uuid4().hex}"
+    coded.write.bucketBy(buckets, "block").option("path", new_folder(spark, "bpe")).option("compression", "zstd").saveAsTable(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the table is an external one
+    return stored, buckets
+
+
+def _encoded(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str], digest: bool) -> DataFrame:
+    """(row, ids) or, for digests, (row, raw, back): ids as little-endian unsigned 32-bit numbers, and the bytes they decode to."""
+    stored, buckets = _cut(frame, tokens, text, keep)
+    texts = stored.filter(F.col("words").isNull()).select("block", "row", "places")
+    own = stored.filter(F.col("words").isNotNull()).select("block", "first", F.posexplode("words").alias("at", "word"))
+    folded = own.select("word").repartition(buckets, "word").distinct().select("word", tokens.folded(F.col("word")).alias("ids"))
+    answers = own.join(folded, "word").select(F.col("block").alias("within"), (F.col("first") + F.col("at")).alias("place"), "ids")
+    pieces = tokens.bytes_of if digest else None
+
+    def filled(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.combine_chunks()
+        order = np.argsort(right["place"].to_numpy())
+        lists = right["ids"].combine_chunks()
+        values = lists.flatten().to_numpy(zero_copy_only=False)
+        bounds = lists.offsets.to_numpy().astype(np.int64) - (lists.offsets[0].as_py() if len(lists.offsets) else 0)
+        starts, sizes = bounds[:-1][order], np.diff(bounds)[order]
+        out, back = [], []
+        for value in left["places"]:
+            places = np.frombuffer(value.as_py(), "<u4")
+            word = np.flatnonzero(places >= OWN)
+            number = (places[word] - OWN).astype(np.int64)
+            n = np.ones(len(places), np.int64)
+            n[word] = sizes[number]
+            ends = np.cumsum(n)
+            ids = np.repeat(places, n)
+            length = n[word]
+            inside = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+            ids[np.repeat(ends[word] - length, length) + inside] = values[np.repeat(starts[number], length) + inside]
+            out.append(ids.astype("<u4").tobytes() if digest else ids.astype(np.int32))
+            if digest:
+                back.append(b"".join(map(pieces.__getitem__, ids.tolist())))
+        if digest:
+            return pa.table({"row": left["row"], "raw": pa.array(out, pa.binary()), "back": pa.array(back, pa.binary())})
+        return pa.table({"row": left["row"], "ids": pa.array(out, pa.list_(pa.int32()))})
+
+    fields = [StructField("raw", BinaryType()), StructField("back", BinaryType())] if digest else [StructField("ids", ArrayType(IntegerType()))]
+    schema = StructType([StructField("row", stored.schema["row"].dataType), *fields])
+    return texts.groupBy("block").cogroup(answers.groupBy("within")).applyInArrow(filled, schema)
+
+
+def with_ids(frame: DataFrame, tokens: Tokenizer, text: str = "text", to: str = "ids") -> DataFrame:
+    """Adds the ids, array<int>, as column `to`."""
+    while to.lower() in map(str.lower, frame.columns):
+        to += "_"
+    return _encoded(frame, tokens, text, frame.columns, False).select("row.*", F.col("ids").alias(to))
+
+
+def encoded_bytes(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str]) -> DataFrame:
+    """The columns `keep`, in a struct `row`, with `raw`, the ids as little-endian unsigned 32-bit numbers, and `back`, the bytes they decode to."""
+    return _encoded(frame, tokens, text, keep, True)

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodstream.llm.bpe import tokenizer, with_ids
+from moodstream.llm.bpe import encoded_bytes, tokenizer
 from moodstream.llm.registry import query, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -13,12 +13,11 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 def digests(documents: DataFrame, ranks: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256."""
     tokens = tokenizer(ranks or public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
-    ids = F.col("ids")
-    return with_ids(documents.select("doc_id", F.col("text").cast("string").alias("text")), tokens).select(
-        "doc_id",
-        F.size(ids).cast("long").alias("n_tokens"),
-        F.sha2(tokens.as_bytes(ids), 256).alias("ids_sha256"),
-        F.sha2(tokens.decoded(ids), 256).alias("decoded_sha256"),
+    return encoded_bytes(documents, tokens, "text", ["doc_id"]).select(
+        "row.doc_id",
+        (F.octet_length("raw") / 4).cast("long").alias("n_tokens"),
+        F.sha2("raw", 256).alias("ids_sha256"),
+        F.sha2("back", 256).alias("decoded_sha256"),
     )
 
 

@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from moodstream.streaming.folders import shared_folder
+from moodstream.streaming.folders import new_folder, shared_folder
 
 
 def written(frame: DataFrame, purpose: str) -> DataFrame:

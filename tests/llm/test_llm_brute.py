@@ -11,7 +11,8 @@ import tiktoken
 import xxhash
 
 from moodstream.llm import licenses, pii, repetition, simhash, spotsigs, substrings, suffixes, warc
-from moodstream.llm.bpe import Tokenizer, read_ranks, with_ids
+from moodstream.llm import bpe
+from moodstream.llm.bpe import Tokenizer, encoded_bytes, read_ranks, with_ids
 from moodstream.llm.catalogue import QUERIES
 from moodstream.llm.language import gram_counts, identified, learned
 from moodstream.llm.mixing import apportioned, mixed_texts, targets
@@ -143,7 +144,7 @@ def test_license_notices():
     assert list(licenses.notices("a license to fish, copyright nobody")) == list(licenses.notices(None)) == []
 
 
-def test_bpe_agrees_with_the_library(spark, data):
+def test_bpe_agrees_with_the_library(spark, data, monkeypatch):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ranks = read_ranks(path)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -152,13 +153,33 @@ def test_bpe_agrees_with_the_library(spark, data):
     texts |= {-1 - i: x for i, x in enumerate(odd)}
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     tokens = Tokenizer(ranks, public_tokenizers.PATTERN)
-    for cached in (0, 500):
-        got = with_ids(frame, tokens, cached=cached)
-        got = got.select("doc_id", "ids", tokens.decoded(got["ids"]).alias("back"), tokens.as_bytes(got["ids"]).alias("raw")).collect()
-        for row in got:
-            ids = library.encode_ordinary(texts[row.doc_id] or "")
-            assert row.ids == ids and bytes(row.back).decode() == (texts[row.doc_id] or "")
-            assert bytes(row.raw) == np.array(ids, "<u4").tobytes()
+    monkeypatch.setattr(bpe, "BLOCK", 5_000)  # many blocks
+    got = with_ids(frame, tokens)
+    got = got.select("doc_id", "text", "ids", tokens.decoded(got["ids"]).alias("back"), tokens.as_bytes(got["ids"]).alias("raw")).collect()
+    assert {x.doc_id: x.text for x in got} == texts and len(got) == len(texts)
+    for row in got:
+        ids = library.encode_ordinary(texts[row.doc_id] or "")
+        assert row.ids == ids and bytes(row.back).decode() == (texts[row.doc_id] or "")
+        assert bytes(row.raw) == np.array(ids, "<u4").tobytes()
+    for row in encoded_bytes(frame, tokens, "text", ["doc_id"]).collect():
+        ids = library.encode_ordinary(texts[row.row.doc_id] or "")
+        assert bytes(row.raw) == np.array(ids, "<u4").tobytes() and bytes(row.back).decode() == (texts[row.row.doc_id] or "")
+
+
+def test_bpe_keeps_columns_with_names_of_its_own(spark):
+    tokens = Tokenizer(read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
+    names = ["ids", "row", "block", "places", "words", "first", "word", "place", "a.b"]
+    frame = spark.createDataFrame([(f"text {i}", *range(i, i + len(names))) for i in range(9)], ["text", *names])
+    got = with_ids(frame, tokens)
+    assert got.columns == ["text", *names, "ids_"]
+    assert sorted(tuple(x)[:-1] for x in got.collect()) == sorted(map(tuple, frame.collect()))
+    assert with_ids(frame.limit(0), tokens).collect() == []
+
+
+def test_ranks_whose_tokens_are_not_made_of_lower_ones_are_known():
+    single = {bytes([i]): i for i in range(256)}
+    assert Tokenizer(single | {b"ab": 256, b"abc": 257}, r"\w+").nested
+    assert not Tokenizer(single | {b"abc": 256, b"ab": 257}, r"\w+").nested
 
 
 def test_sainte_lague_against_one_seat_after_the_other(spark):
