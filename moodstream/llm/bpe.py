@@ -244,8 +244,9 @@ def _encoded(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str], di
     stored, buckets = _cut(frame, tokens, text, keep)
     texts = stored.filter(F.col("words").isNull()).select("block", "row", "places")
     own = stored.filter(F.col("words").isNotNull()).select("block", "first", F.posexplode("words").alias("at", "word"))
-    folded = own.select("word").repartition(buckets, "word").distinct().select("word", tokens.folded(F.col("word")).alias("ids"))
-    answers = own.join(folded, "word").select(F.col("block").alias("within"), (F.col("first") + F.col("at")).alias("place"), "ids")
+    tasks = max(buckets, frame.sparkSession.sparkContext.defaultParallelism)
+    folded = own.select("word").repartition(tasks, "word").distinct().select("word", tokens.folded(F.col("word")).alias("ids"))
+    answers = own.join(folded.hint("merge"), "word").select(F.col("block").alias("within"), (F.col("first") + F.col("at")).alias("place"), "ids")
     pieces = tokens.bytes_of if digest else None
 
     def filled(left: pa.Table, right: pa.Table) -> pa.Table:
