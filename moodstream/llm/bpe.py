@@ -6,7 +6,8 @@
    of lowest rank, leftmost first, until no pair has a rank. Ranks are a constant map in the expression, spread over small maps by checksum so that a lookup
    compares about one key. Words of over SHORT bytes are folded as one string whose rounds replace all pairs of the lowest rank at once, which is linear in a
    round and gives the same result if every token is made of tokens of lower rank; ranks of which that is not true are folded the first way only.
-3. Ids go back to the blocks by joins on the word and on the block, and take the place of the numbers. Texts stay where their bucket is; a word travels
+   For that the words are dealt and sorted once; the first row of a word is folded and the others take its ids.
+3. Ids go back to their blocks, packed by task and block, and take the place of the numbers. Texts stay where their bucket is; a word travels
    once for each block it occurs in, so a frequent word is as many rows as there are blocks and never one for each occurrence.
 
 Decoding turns ids into the bytes of their tokens and concatenates these pieces.
@@ -20,6 +21,7 @@ give equal rows; an empty table an empty result. Ties can't arise: ranks are dis
 
 import base64
 import json
+import os
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -28,15 +30,16 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from moodstream.llm.shared import new_folder
 
 SHORT = 48
-#: Bytes of texts in a block, characters of a text that is cut piece by piece, and words in a row.
-BLOCK, LONG, WORDS = 8 << 20, 1 << 22, 1 << 12
+#: Characters of texts in a block and of a text that is cut piece by piece, words in a row, and words whose ids are packed at once.
+BLOCK, LONG, WORDS, PACKED = 32 << 20, 1 << 22, 1 << 12, 1 << 19
 #: Numbers of words in a block begin here; ids are less.
 OWN = 1 << 31
 #: Most buckets that Spark allows by default.
@@ -167,7 +170,7 @@ class _Block(dict):
 
     def __init__(self, known: dict[str, int]):
         super().__init__(known)
-        self.name, self.words, self.size = uuid.uuid4().hex, [], 0
+        self.name, self.words, self.size = int.from_bytes(os.urandom(8), "little", signed=True), [], 0
 
     def __missing__(self, word: str) -> int:
         number = self[word] = OWN + len(self.words)
@@ -193,14 +196,14 @@ def _cut(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str]) -> tup
 
         def rows(own: pa.Array, places: list[bytes]) -> pa.RecordBatch:
             n = len(own)
-            columns = [pa.array([block.name] * n, pa.string()), own, pa.array(places, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.string()))]
+            columns = [pa.array([block.name] * n, pa.int64()), own, pa.array(places, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.string()))]
             return pa.RecordBatch.from_arrays(columns, names)
 
         def words() -> pa.RecordBatch:
             first = range(0, len(block.words), WORDS)
             n = len(first)
             parts = pa.array([block.words[x : x + WORDS] for x in first], pa.list_(pa.string()))
-            columns = [pa.array([block.name] * n, pa.string()), pa.nulls(n, kind), pa.nulls(n, pa.binary()), pa.array(first, pa.int32()), parts]
+            columns = [pa.array([block.name] * n, pa.int64()), pa.nulls(n, kind), pa.nulls(n, pa.binary()), pa.array(first, pa.int32()), parts]
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
@@ -221,7 +224,7 @@ def _cut(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str]) -> tup
 
     schema = StructType(
         [
-            StructField("block", StringType()),
+            StructField("block", LongType()),
             StructField("row", row_type),
             StructField("places", BinaryType()),
             StructField("first", IntegerType()),
@@ -230,7 +233,7 @@ def _cut(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str]) -> tup
     )
     spark = frame.sparkSession
     size = frame.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
-    buckets = min(MOST_BUCKETS, max(1, 2 * size // BLOCK))
+    buckets = min(MOST_BUCKETS, max(1, 8 * size // BLOCK))
     coded = given.mapInArrow(cut, schema)
     name = f"bpe_{uuid.uuid4().hex}"
     coded.write.bucketBy(buckets, "block").option("path", new_folder(spark, "bpe")).option("compression", "zstd").saveAsTable(name)
@@ -239,23 +242,69 @@ def _cut(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str]) -> tup
     return stored, buckets
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(within, answers) of (block, place, ids): places, numbers of ids and ids of many words of a block, compressed."""
+    coder, held, size = zstandard.ZstdCompressor(level=3), [], 0
+
+    def packed() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        block, place = (table[x].to_numpy() for x in ("block", "place"))
+        lists = table["ids"].combine_chunks()
+        sizes, values = np.diff(lists.offsets.to_numpy()).astype(np.int64), lists.flatten().to_numpy()
+        order = np.lexsort([place, block])
+        starts = np.flatnonzero(np.append(True, block[order][1:] != block[order][:-1]))
+        n = sizes[order]
+        ends = np.cumsum(n)
+        values = values[np.repeat((np.cumsum(sizes) - sizes)[order] - ends + n, n) + np.arange(n.sum())]
+        out = []
+        for a, b in zip(starts, np.append(starts[1:], len(order)), strict=True):
+            steps = np.diff(place[order[a:b]], prepend=0)
+            parts = np.array([b - a]), steps, n[a:b], values[ends[a] - n[a] : ends[b - 1]]
+            # bytes of equal weight side by side
+            out.append(coder.compress(b"".join(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for x in parts)))
+        return pa.RecordBatch.from_arrays([pa.array(block[order[starts]]), pa.array(out, pa.binary())], ["within", "answers"])
+
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= PACKED:
+            yield packed()
+            held, size = [], 0
+    if size:
+        yield packed()
+
+
+def _unpacked(answers: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, numbers of ids, ids) of all answers of a block."""
+    decoder, found = zstandard.ZstdDecompressor(), [(np.zeros(0, np.int64),) * 3]
+
+    def numbers(raw: bytes) -> np.ndarray:
+        return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+    for answer in answers:
+        raw = decoder.decompress(answer)
+        n = 4 * int(numbers(raw[:4])[0])
+        found.append((np.cumsum(numbers(raw[4 : 4 + n])), numbers(raw[4 + n : 4 + 2 * n]), numbers(raw[4 + 2 * n :])))
+    return tuple(np.concatenate([x[i] for x in found]) for i in range(3))
+
+
 def _encoded(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str], digest: bool) -> DataFrame:
     """(row, ids) or, for digests, (row, raw, back): ids as little-endian unsigned 32-bit numbers, and the bytes they decode to."""
     stored, buckets = _cut(frame, tokens, text, keep)
     texts = stored.filter(F.col("words").isNull()).select("block", "row", "places")
     own = stored.filter(F.col("words").isNotNull()).select("block", "first", F.posexplode("words").alias("at", "word"))
     tasks = max(buckets, frame.sparkSession.sparkContext.defaultParallelism)
-    folded = own.select("word").repartition(tasks, "word").distinct().select("word", tokens.folded(F.col("word")).alias("ids"))
-    answers = own.join(folded.hint("merge"), "word").select(F.col("block").alias("within"), (F.col("first") + F.col("at")).alias("place"), "ids")
+    dealt = own.select("block", (F.col("first") + F.col("at")).alias("place"), "word").repartition(tasks, "word")
+    rows = Window.partitionBy("word").orderBy("block")
+    once = dealt.withColumn("nth", F.row_number().over(rows)).withColumn("ids", F.when(F.col("nth") == 1, tokens.folded(F.col("word"))))
+    of_all = F.first("ids", ignorenulls=True).over(rows.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    answers = once.select("block", "place", of_all.alias("ids")).mapInArrow(_packed, "within long, answers binary")
     pieces = tokens.bytes_of if digest else None
 
     def filled(left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.combine_chunks()
-        order = np.argsort(right["place"].to_numpy())
-        lists = right["ids"].combine_chunks()
-        values = lists.flatten().to_numpy(zero_copy_only=False)
-        bounds = lists.offsets.to_numpy().astype(np.int64) - (lists.offsets[0].as_py() if len(lists.offsets) else 0)
-        starts, sizes = bounds[:-1][order], np.diff(bounds)[order]
+        place, sizes, values = _unpacked([x.as_py() for x in right["answers"]])
+        order = np.argsort(place)
+        starts, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
         out, back = [], []
         for value in left["places"]:
             places = np.frombuffer(value.as_py(), "<u4")

@@ -153,7 +153,7 @@ def test_bpe_agrees_with_the_library(spark, data, monkeypatch):
     texts |= {-1 - i: x for i, x in enumerate(odd)}
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     tokens = Tokenizer(ranks, public_tokenizers.PATTERN)
-    monkeypatch.setattr(bpe, "BLOCK", 5_000)  # many blocks
+    monkeypatch.setattr(bpe, "BLOCK", 60_000)  # many blocks
     got = with_ids(frame, tokens)
     got = got.select("doc_id", "text", "ids", tokens.decoded(got["ids"]).alias("back"), tokens.as_bytes(got["ids"]).alias("raw")).collect()
     assert {x.doc_id: x.text for x in got} == texts and len(got) == len(texts)
