@@ -5,10 +5,11 @@ A byte goes if a string of `length` bytes that covers it also starts earlier: in
 1. Windows. A window is `length` bytes of a document. Its key is the smallest hash among its runs of RUN bytes, so equal windows have equal keys, and
    neighbouring windows mostly share one: a stretch of windows with one key is a piece. Pieces travel as (key, document, place) only. A window whose
    key occurs in no other piece has no equal, so its piece is left out, unless the piece goes on behind its smallest run: then it holds that run again.
-2. Shards. The bytes of the pieces that stay are dealt to shards by key, packed and compressed by task and shard. Equal pieces are joined there: the
-   earliest stands for them, and the windows of the others are repeats.
+2. Shards. The bytes of the pieces that stay are dealt to shards by key, packed and compressed by task and shard; equal pieces of a task share their bytes. In the
+   shard, block after block, the bytes of equal pieces are held once: the earliest stands for them, and the windows of the others are repeats.
 3. Each shard is then one text in the order of documents. `suffixes.repeats` sorts its suffixes by external induction, and windows that agree in `length`
-   bytes, except the first, are repeats. Larger shards use disk, not memory.
+   bytes, except the first, are repeats. Its queues go to disk beyond MEMORY; different pieces, text and
+   ranks of a shard are held in memory.
 4. Repeats come back as spans by document, and each document is cut.
 
 The pieces of a key that MANY pieces or more have are cut into up to (length - RUN) / STEP parts by the place of the smallest run in the window, and
@@ -38,7 +39,7 @@ LEVEL = 3
 #: Bytes of pieces that a task packs at once.
 BLOCK = 1 << 23
 #: Bytes of documents for a shard (its pieces have about as many), and memory for sorting one before it uses disk.
-SHARD, MEMORY = 6 << 20, 96 << 20
+SHARD, MEMORY = 4 << 20, 96 << 20
 #: Windows of a piece at most; longer stretches of one key are several pieces.
 LONGEST = 1 << 16
 #: Flag beside the number of windows, and what is in front of both.
@@ -210,55 +211,70 @@ def _cut_out(documents: DataFrame, wanted: DataFrame, length: int, shards: int)
         blocks = []
         for a, b in zip(starts, np.append(starts[1:], len(order)), strict=True):
             own = order[a:b]
-            data = [rows[i][0] for i in own.tolist()]
-            head = np.array([len(own)], np.int64).tobytes() + np.fromiter(map(len, data), np.int64, len(own)).tobytes()
-            blocks.append(coder.compress(head + numbers[:, own].tobytes() + b"".join(data)))
+            once: dict[bytes, int] = {}  # equal pieces of a task share their bytes
+            which = np.fromiter((once.setdefault(rows[i][0], len(once)) for i in own.tolist()), np.int64, len(own))
+            head = np.array([len(own), len(once)], np.int64).tobytes() + np.fromiter(map(len, once), np.int64, len(once)).tobytes()
+            blocks.append(coder.compress(head + which.tobytes() + numbers[:, own].tobytes() + b"".join(once)))
         return pa.RecordBatch.from_arrays([pa.array(shard[order[starts]].astype(np.int32)), pa.array(blocks, pa.binary())], ["shard", "block"])
 
     return both.mapInArrow(cut, "shard int, block binary")
 
 
-def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes of all pieces, sizes, (key, id, mark, first)) of a block."""
-    n = int(np.frombuffer(block, np.int64, 1)[0])
-    sizes = np.frombuffer(block, np.int64, n, 8)
-    numbers = np.frombuffer(block, np.int64, 4 * n, 8 + 8 * n).reshape(4, n)
-    return np.frombuffer(block, np.uint8, offset=8 + 40 * n), sizes, numbers
+def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of different pieces, their sizes, which of them each piece is, (key, id, mark, first) of each piece) of a block."""
+    n, m = np.frombuffer(block, np.int64, 2).tolist()
+    sizes = np.frombuffer(block, np.int64, m, 16)
+    which = np.frombuffer(block, np.int64, n, 16 + 8 * m)
+    numbers = np.frombuffer(block, np.int64, 4 * n, 16 + 8 * (m + n)).reshape(4, n)
+    return np.frombuffer(block, np.uint8, offset=16 + 8 * m + 40 * n), sizes, which, numbers
 
 
-def _joined(data: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pieces in the given order as one text of symbols, each with a 0 behind it; where they start in it."""
-    starts = (np.cumsum(sizes) - sizes)[order]
-    n = sizes[order]
+def _joined(data: np.ndarray, starts: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of n bytes from the given starts as one text of symbols, each with a 0 behind it; where they start in it."""
     to = np.cumsum(n + 1) - n - 1
     text = np.zeros(int((n + 1).sum()), np.uint16)
-    for a in range(0, len(n), 1 << 14):  # indices of a part at a time
-        own = slice(a, a + (1 << 14))
+    for a in range(0, len(n), 1 << 12):  # indices of a part at a time
+        own = slice(a, a + (1 << 12))
         inside = np.arange(n[own].sum()) - np.repeat(np.cumsum(n[own]) - n[own], n[own])
         text[np.repeat(to[own], n[own]) + inside] = data[np.repeat(starts[own], n[own]) + inside].astype(np.uint16) + 1
     return text, to
 
 
+def _different(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As `unpacked`, of all blocks together, with the bytes of equal pieces held once. Blocks are taken out of the list."""
+    seen: dict[bytes, int] = {}
+    data, sizes, which, numbers = [], [], [], []
+    decoder = zstandard.ZstdDecompressor()
+    while blocks:
+        own, n, kind, rest = unpacked(decoder.decompress(blocks.pop()))
+        ends, view = np.cumsum(n).tolist(), memoryview(own)
+        place = np.empty(len(n), np.int64)
+        new = np.zeros(len(n), bool)
+        for i, (end, length) in enumerate(zip(ends, n.tolist(), strict=True)):
+            digest = xxhash.xxh3_128_digest(view[end - length : end]) + length.to_bytes(8, "little")
+            new[i] = digest not in seen
+            place[i] = seen.setdefault(digest, len(seen))
+        data.append(own if new.all() else own[np.repeat(new, n)])
+        sizes.append(n[new])
+        which.append(place[kind])
+        numbers.append(rest.copy())
+    return np.concatenate(data), np.concatenate(sizes), np.concatenate(which), np.concatenate(numbers, axis=1)
+
+
 def spans_of_shard(blocks: list[bytes], length: int) -> np.ndarray:
-    """(id, mark, first, n) of the runs of windows of a shard that are repeats.
+    """(id, mark, first, n) of the runs of windows of a shard, given as compressed blocks, that are repeats.
 
     Equal pieces are joined first: the windows of all but the earliest are repeats, and the earliest stands for them in the text that is sorted.
     """
-    opened = [unpacked(x) for x in blocks]
-    data = np.concatenate([x[0] for x in opened])
-    sizes = np.concatenate([x[1] for x in opened])
-    numbers = np.concatenate([x[2] for x in opened], axis=1)
-    opened.clear()
-    ends = np.cumsum(sizes)
-    view = memoryview(data)
-    digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(view[b - n : b]) for b, n in zip(ends.tolist(), sizes.tolist(), strict=True)), np.uint64)
-    order = np.lexsort([numbers[3], numbers[2], numbers[1], digests[1::2], digests[::2]])
-    same = np.append(False, (digests[::2][order][1:] == digests[::2][order][:-1]) & (digests[1::2][order][1:] == digests[1::2][order][:-1]))
+    data, sizes, which, numbers = _different(blocks)
+    order = np.lexsort([numbers[3], numbers[2], numbers[1], which])
+    same = np.append(False, which[order][1:] == which[order][:-1])
     later = order[same]
-    found = [np.stack([*numbers[1:, later], sizes[later] - length + 1])]
+    found = [np.stack([*numbers[1:, later], sizes[which[later]] - length + 1])]
     once = order[~same]
     once = once[np.lexsort([numbers[3, once], numbers[2, once], numbers[1, once]])]
-    text, to = _joined(data, sizes, once)
+    text, to = _joined(data, (np.cumsum(sizes) - sizes)[which[once]], sizes[which[once]])
+    del data
     again = repeats(text, length, MEMORY)
     edge = np.diff(again.astype(np.int8), prepend=0)
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -273,7 +289,6 @@ def _spans_of_shards(cut: DataFrame, length: int, shards: int) -> DataFrame:
     names = ["id", "mark", "first", "n"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = zstandard.ZstdDecompressor()
         shard, held = None, []
         for batch in batches:
             for number, block in zip(*batch.columns, strict=True):
@@ -281,7 +296,7 @@ def _spans_of_shards(cut: DataFrame, length: int, shards: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in spans_of_shard(held, length)], names)
                     held = []
                 shard = number.as_py()
-                held.append(decoder.decompress(block.as_py()))
+                held.append(block.as_py())
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in spans_of_shard(held, length)], names)
 
