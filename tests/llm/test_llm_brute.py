@@ -7,11 +7,11 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 import xxhash
 
-from moodstream.llm import licenses, pii, repetition, simhash, spotsigs, substrings, suffixes, warc
-from moodstream.llm import bpe
+from moodstream.llm import bpe, licenses, pii, repetition, simhash, spotsigs, substrings, suffixes, warc
 from moodstream.llm.bpe import Tokenizer, encoded_bytes, read_ranks, with_ids
 from moodstream.llm.catalogue import QUERIES
 from moodstream.llm.language import gram_counts, identified, learned
@@ -298,3 +298,12 @@ def test_length_partitions_lose_no_likeness():
         a, b = (np.unique(np.array(random.sample(range(60), random.randint(1, 50)), np.uint32)) for _ in range(2))
         exact = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
         assert spotsigs.likeness(a, b, 0.3) == exact or (exact < 0.3 and spotsigs.likeness(a, b, 0.3) == 0)
+
+
+def test_every_character_is_cut_as_the_library_cuts_it():
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    cuts = regex.compile(public_tokenizers.PATTERN)
+    for x in map(chr, (*range(0xD800), *range(0xE000, 0x110000))):
+        text = f"the{x}the 12{x}34 ..{x}..  {x}{x} x"
+        assert [i for cut in cuts.findall(text) for i in library._encode_single_piece(cut)] == library.encode_ordinary(text), hex(ord(x))
