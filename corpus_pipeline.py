@@ -53,7 +53,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("byte-level bpe", tokens),
 ]
 
-#: SQL cannot express the surrogates; tests compare with a brute-force version.
+#: SQL cannot express the surrogates. Tests run all stages, on edge rows too, and test each operator apart; no test recomputes the whole pipeline.
 ORACLE_SQL = None
 
 
