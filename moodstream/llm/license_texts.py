@@ -1,5 +1,7 @@
 """Notices and texts of common licences, as fixed values, with the words that tell them apart."""
 
+import re
+
 # Fixed values: (identifier, words that must be present in this order, wording).
 TEMPLATES: list[tuple[str, str, str]] = [
     ("Apache-2.0", "apache license 2.0", "Licensed under the Apache License, Version 2.0."),
@@ -14,6 +16,7 @@ TEMPLATES: list[tuple[str, str, str]] = [
     ),
     ("MIT", "mit license", "Released under the MIT License."),
     ("MIT", "mit license", "Licensed under the MIT License."),
+    ("MIT", "mit licensed", "MIT-licensed"),
     ("MIT", "mit license", "This project is licensed under the MIT License."),
     (
         "MIT",
@@ -27,8 +30,6 @@ TEMPLATES: list[tuple[str, str, str]] = [
         "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
         "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ),
-    ("GPL-3.0", "gnu general public license 3", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "gnu general public license 3", "Licensed under the GNU General Public License v3."),
     (
         "GPL-3.0-or-later",
         "gnu general public license 3 any later version",
@@ -37,9 +38,6 @@ TEMPLATES: list[tuple[str, str, str]] = [
         "hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
         "PURPOSE. See the GNU General Public License for more details.",
     ),
-    ("GPL-2.0", "gnu general public license 2", "This work is licensed under the GNU General Public License, version 2."),
-    ("LGPL-3.0", "gnu lesser general public license 3", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("AGPL-3.0", "gnu affero general public license 3", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("MPL-2.0", "mozilla public license 2.0", "Licensed under the Mozilla Public License, Version 2.0."),
     (
         "MPL-2.0",
@@ -72,17 +70,69 @@ TEMPLATES: list[tuple[str, str, str]] = [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
         "above copyright notice and this permission notice appear in all copies.",
     ),
-    ("CC-BY-4.0", "cc by 4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "cc by sa 4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "cc by nc 4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-SA-4.0", "cc by nc sa 4.0", "Licensed under CC BY-NC-SA 4.0."),
-    ("CC-BY-ND-4.0", "cc by nd 4.0", "Licensed under CC BY-ND 4.0."),
-    ("CC-BY-NC-ND-4.0", "cc by nc nd 4.0", "Licensed under CC BY-NC-ND 4.0."),
-    (
-        "CC-BY-4.0",
-        "creative commons attribution 4.0",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    ),
     ("CC0-1.0", "cc0 1.0", "Released under CC0 1.0."),
     ("Unlicense", "public domain", "This is free and unencumbered software released into the public domain."),
+    (
+        "Zlib",
+        "altered from any source distribution",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages "
+        "arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial "
+        "applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be "
+        "misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the "
+        "product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be "
+        "misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    ),
+    ("BSL-1.0", "boost software license 1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("EPL-2.0", "eclipse public license 2.0", "This program is made available under the terms of the Eclipse Public License 2.0."),
+    ("WTFPL", "do what the fuck you want to", "You just do what the fuck you want to."),
+]
+
+# Families of licences, the words that tell them, and the versions there are; notices and identifiers follow by rule.
+GNU = [
+    ("GPL", "GNU General Public License", ("2", "3")),
+    ("LGPL", "GNU Lesser General Public License", ("2.1", "3")),
+    ("AGPL", "GNU Affero General Public License", ("3",)),
 ]
+COMMONS = [
+    ("BY", "Attribution"),
+    ("BY-SA", "Attribution-ShareAlike"),
+    ("BY-NC", "Attribution-NonCommercial"),
+    ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    ("BY-ND", "Attribution-NoDerivs"),
+    ("BY-NC-ND", "Attribution-NonCommercial-NoDerivs"),
+]
+COMMONS_VERSIONS = ("2.0", "2.5", "3.0", "4.0")
+IDENTIFIERS = (
+    "Apache-2.0 MIT ISC Zlib BSL-1.0 MPL-1.1 MPL-2.0 EPL-1.0 EPL-2.0 CDDL-1.0 BSD-2-Clause BSD-3-Clause CC0-1.0 Unlicense WTFPL 0BSD Artistic-2.0 "
+    "GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later AGPL-3.0-only "
+    "AGPL-3.0-or-later"
+).split()
+
+
+def _told(text: str) -> str:
+    """The words of a name, as telling words."""
+    return " ".join(re.findall(r"\d+(?:\.\d+)*|[^\W\d_]+", text.lower()))
+
+
+def _by_rule() -> list[tuple[str, str, str]]:
+    out = []
+    for short, name, versions in GNU:
+        for version in versions:
+            own = f"{short}-{version if '.' in version else version + '.0'}"
+            out.append((own, _told(f"{name} {version}"), f"This work is licensed under the {name}, version {version}."))
+            out.append((own, _told(f"{name} {version}"), f"Licensed under the {name} v{version}."))
+            out.append((own, _told(f"{name} {version}"), f"{name} v{version}"))
+    for short, name in COMMONS:
+        for version in COMMONS_VERSIONS:
+            own = f"CC-{short}-{version}"
+            port = "International" if version == "4.0" else "Unported" if version == "3.0" else "Generic"
+            out.append((own, _told(f"cc {short} {version}"), f"Licensed under CC {short} {version}."))
+            out.append((own, _told(f"cc {short} {version}"), f"CC {short} {version}"))
+            told = _told(f"creative commons {name} {version}")
+            out.append((own, told, f"This work is licensed under a Creative Commons {name} {version} {port} License."))
+    for own in IDENTIFIERS:
+        out.append((own, _told(f"spdx license identifier {own}"), f"SPDX-License-Identifier: {own}"))
+    return out
+
+
+TEMPLATES += _by_rule()

@@ -1,10 +1,12 @@
 """Licence notices found by conditional compression.
 
 Candidate blocks are the stretches around words that licence texts use, as far to both sides as the longest template reaches. A block is compressed by
-zstandard alone and with each template as raw dictionary; templates are ranked by the bytes that the dictionary saves. The best are
-confirmed by wording: the words of template and block are aligned, and a template is found if its telling words are all there in order and at
-most MOST_DIFFERENT percent of its words differ. What a confirmed notice covers is cut out and the rest is searched again, so a
-block may hold several. The differing words come with the result, an exact wording has none.
+zstandard alone and with each template as raw dictionary; templates are ranked by the bytes that the dictionary saves. All of them are
+confirmed by wording, in that order: the words of template and block are aligned, and a template is found if its telling words are all there in
+order and at most MOST_DIFFERENT percent of its words, or one word, differ. The rank decides between templates that cover the same words equally well;
+it rules out none. A template whose telling words are not all in the block can't be confirmed, so it is not compressed with. What a
+confirmed notice covers is cut out and the rest is searched again, so a block may hold several. The differing words come with the result, an exact
+wording has none.
 
 Row-local: nothing is shuffled. Null and empty texts have no notice. Texts are searched whole, whatever their length. Columns not named are not
 read. Repeated rows give repeated results. An empty table gives an empty result.
@@ -23,10 +25,8 @@ from pyspark.sql import functions as F
 from moodstream.llm.license_texts import TEMPLATES
 
 MOST_DIFFERENT = 10
-#: Templates confirmed at most for one block, in the order of bytes saved.
-TRIED = 8
 
-_HINT = re.compile(r"(?i)licen[sc]|\bcc[ -]?by\b|\bcc0\b|permission (?:is hereby|to use)|redistribution|public domain|creative commons")
+_HINT = re.compile(r"(?i)licen[sc]|\bspdx|\bcc[ -]?by\b|\bcc0\b|permission (?:is (?:hereby )?granted|to use)|redistribution|do what the fuck|\bwarrant(?:y|ies)\b|public domain|creative commons")
 _WORD = re.compile(r"\d+(?:\.\d+)*|[^\W\d_]+")
 LONGEST = max(len(text) for _, _, text in TEMPLATES)
 
@@ -46,27 +46,44 @@ def _prepared() -> list[tuple[str, list[str], list[str], object]]:
     return out
 
 
-def ranked(block: str) -> list[tuple[int, float, int]]:
-    """(template, part of the size saved, bytes saved), most bytes first, then the shorter template."""
+def ranked(block: str, words: set[str]) -> list[tuple[int, float]]:
+    """(template, part of the size saved) of the templates whose telling words are there, most bytes first, then the shorter template."""
+    possible = [i for i, (_, telling, _, _) in enumerate(_prepared()) if words.issuperset(telling)]
+    if not possible:
+        return []
     data = block.encode()
     alone = len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(data))
-    saved = [alone - len(coder.compress(data)) for *_, coder in _prepared()]
-    order = sorted(range(len(saved)), key=lambda i: (-saved[i], len(TEMPLATES[i][2]), i))
-    return [(i, saved[i] / alone, saved[i]) for i in order if saved[i] > 0]
+    saved = {i: alone - len(_prepared()[i][3].compress(data)) for i in possible}
+    return [(i, saved[i] / alone) for i in sorted(possible, key=lambda i: (-saved[i], len(TEMPLATES[i][2]), i))]
 
 
-def compared(number: int, words: list[tuple[str, int, int]]) -> tuple[int, int, list[str]] | None:
-    """First and last place of a template in the words, and the differences; None if it is not confirmed."""
+def compared(number: int, words: list[tuple[str, int, int]], at: int) -> tuple[bool, int, int, list[str]] | None:
+    """Whether a template covers word `at`, its first and last place in the words, and the differences; None if it is not confirmed.
+
+    The template is laid on the words wherever its rarest telling word stands. A place that covers word `at` is taken first, then the one with
+    the fewest differences, then the first.
+    """
     _, telling, template, _ = _prepared()[number]
-    match = difflib.SequenceMatcher(None, template, [w for w, _, _ in words], autojunk=False)
-    # around the longest agreement, as long as the template
-    longest = match.find_longest_match()
-    if not longest.size:
+    own = [w for w, _, _ in words]
+    most = max(1, len(template) * MOST_DIFFERENT // 100)
+    pairs = [([i for i, w in enumerate(own) if w == x], [i for i, w in enumerate(template) if w == x]) for x in dict.fromkeys(telling)]
+    places = min(pairs, key=lambda x: len(x[0]) * len(x[1]))
+    best = None
+    for start in sorted({max(0, i - j - most) for i in places[0] for j in places[1]}):
+        found = _laid_on(telling, template, own[start : start + len(template) + 3 * most], most)
+        if found:
+            first, last, differences = start + found[0], start + found[1], found[2]
+            covers = first <= at < last
+            if best is None or (covers, -len(differences)) > (best[0], -len(best[3])):
+                best = covers, first, last, differences
+    return best
+
+
+def _laid_on(telling: list[str], template: list[str], own: list[str], most: int) -> tuple[int, int, list[str]] | None:
+    """First and last place of a template in a stretch of words about as long, and the differences; None if over `most` differ."""
+    there = set(own)
+    if sum(w not in there for w in template) > most:
         return None
-    slack = max(2, len(template) * MOST_DIFFERENT // 100)
-    low = max(0, longest.b - longest.a - slack)
-    high = min(len(words), longest.b - longest.a + len(template) + slack)
-    own = [w for w, _, _ in words[low:high]]
     blocks = [x for x in difflib.SequenceMatcher(None, template, own, autojunk=False).get_matching_blocks() if x.size]
     if not blocks:
         return None
@@ -78,9 +95,7 @@ def compared(number: int, words: list[tuple[str, int, int]]) -> tuple[int, int,
     for kind, a, b, c, d in difflib.SequenceMatcher(None, template, own[first:last], autojunk=False).get_opcodes():
         if kind != "equal":
             differences += [f"-{w}" for w in template[a:b]] + [f"+{w}" for w in own[first:last][c:d]]
-    if 100 * len(differences) > MOST_DIFFERENT * len(template):
-        return None
-    return low + first, low + last, differences
+    return (first, last, differences) if len(differences) <= most else None
 
 
 def notices(text: str | None) -> Iterator[tuple[int, int, str, float, list[str]]]:
@@ -98,27 +113,34 @@ def notices(text: str | None) -> Iterator[tuple[int, int, str, float, list[str]]
 
 
 def _in_block(text: str, start: int, end: int) -> Iterator[tuple[int, int, str, float, list[str]]]:
-    """Notices of a block; a long one is taken in halves that overlap by more than a template."""
-    todo, out = [(start, end)], []
+    """Notices of a block. Each hint is searched with its surroundings, up to the notices found before; `since` is where untried hints begin."""
+    todo, out = [(start, end, start)], []
     while todo:
-        a, b = todo.pop()
-        hints = list(_HINT.finditer(text, a, b))
-        if not hints:
+        a, b, since = todo.pop()
+        hint = _HINT.search(text, since, b)
+        if not hint:
             continue
-        # one hint at a time, with its surroundings
-        low, high = max(a, hints[0].start() - LONGEST), min(b, hints[0].end() + LONGEST + LONGEST // 4)
+        low, high = max(a, hint.start() - LONGEST), min(b, hint.end() + LONGEST + LONGEST // 4)
         words = wording(text[low:high])
+        at = next((i for i, (_, _, stop) in enumerate(words) if low + stop > hint.start()), len(words))
         best = None
-        for number, part, _ in ranked(text[low:high])[:TRIED]:
-            found = compared(number, words)
-            if found and (best is None or (found[1] - found[0], -len(found[2])) > (best[1][1] - best[1][0], -len(best[1][2]))):
-                best = number, found, part
+        for number, part in ranked(text[low:high], {w for w, _, _ in words}):
+            found = compared(number, words, at)
+            if found:
+                covers, first, last, differences = found
+                order = covers, last - first, -len(differences)
+                if best is None or order > best[0]:
+                    best = order, number, first, last, differences, part
         if best is None:
-            todo.append((hints[0].end(), b))
+            todo.append((a, b, hint.end()))
+            continue
+        (covers, *_), number, first, last, differences, part = best
+        begin, stop = low + words[first][1], low + words[last - 1][2]
+        if not covers and _HINT.search(text, begin, stop):  # left to its own hint, whose surroundings hold all of it
+            todo.append((a, b, hint.end()))
             continue
-        number, (first, last, differences), part = best
-        out.append((low + words[first][1], low + words[last - 1][2], TEMPLATES[number][0], part, differences))
-        todo += [(a, out[-1][0]), (max(out[-1][1], hints[0].end()), b)]
+        out.append((begin, stop, TEMPLATES[number][0], part, differences))
+        todo += [(a, begin, min(since, begin)), (stop, b, max(stop, hint.end()))]
     yield from sorted(out, key=lambda x: x[:2])
 
 
