@@ -1,7 +1,9 @@
 """SpotSigs fingerprints (Theobald, Siddharth, Paepcke 2008) of texts and of their neighbours.
 
 A signature is a common word of the text, the anchor, with the chain of the next CHAIN words that are not common. The fingerprint is the
-set of a text's signatures, 32 bits each, as hexadecimal digits in order. A text without common words takes every word as anchor.
+set of a text's signatures, 32 bits each, as hexadecimal digits in order. Where no common word is within GAP words before and behind, a word is an
+anchor itself: texts in languages whose common words are not listed, code and word lists get signatures throughout, though a listed word
+stands here and there. This hangs on the words around only, so an edit changes signatures near it and no others.
 
 Sets are dealt into partitions by length such that sets of partitions that are not neighbours can't reach the Jaccard likeness `least`.
 Only sets in the same or neighbouring partitions are compared, and of those only pairs whose lengths still allow `least`; other likeness is 0.
@@ -27,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHAIN = 2
+GAP = 4
 
 # Common words of English, French, German and Spanish.
 COMMON = frozenset(
@@ -52,7 +55,9 @@ def signatures(text: str | None) -> np.ndarray:
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     common = np.fromiter((x in COMMON for x in words), bool, len(words))
     content = np.flatnonzero(~common)
-    anchors = np.flatnonzero(common) if common.any() else np.arange(len(words) - 1)
+    upto = np.concatenate([np.zeros(GAP + 1, np.int64), np.cumsum(common), np.full(GAP, common.sum())])
+    around = upto[2 * GAP + 1 :] - upto[: len(words)]  # common words from GAP before to GAP behind
+    anchors = np.flatnonzero(common | (around == 0))
     after = np.searchsorted(content, anchors, side="right")
     keep = after + CHAIN <= len(content)
     anchors, after = anchors[keep], after[keep]
