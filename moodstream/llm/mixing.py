@@ -14,8 +14,8 @@ Only one row per source passes a single task (the order of sources decides their
 with a third of all rows is many tasks. Everything depends on keys and seed only: reruns agree.
 
 Null text: size 0. Null source: a source of its own, last in order. Documents of size 0 are taken 0 times. Rows with equal key
-are separate documents next to each other. No words at all: targets 0. Columns not named are kept but not read. An
-empty table gives an empty result.
+are separate documents next to each other. No words at all: targets 0. `mixed_texts` keeps columns not named, whatever their names, and does not read
+them; `placed` replaces columns that have the names of its own. Texts of any length are one row. An empty table gives an empty result.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,6 +25,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 SHARD = 8192
 LEAST_BLOCK, MOST_BLOCK = 16, 1024
+PLACED = ("size", "source_size", "target", "block", "first", "n", "quota", "shift", "docs", "source_quota")
 
 
 def word_count(text: Column) -> Column:
@@ -100,7 +101,7 @@ def _number(digest: Column) -> Column:
 
 def placed(frame: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 7) -> DataFrame:
     """The frame with size, source_size, target, block, first (place of the first word in its shard), n (blocks of the shard), quota and shift."""
-    sized = frame.withColumn("size", word_count(F.col(text)))
+    sized = frame.drop(*PLACED).withColumn("size", word_count(F.col(text)))
     return placed_by_size(sized, key, source, seed)
 
 
@@ -152,14 +153,18 @@ def mixed_texts(frame: DataFrame, key: str = "doc_id", text: str = "text", sourc
 
     White space behind a word goes with it. A text taken whole stays as it is.
     """
-    cut = placed(frame, key, text, source, seed).withColumn("taken", taken()).filter("taken > 0")
-    units = F.regexp_extract_all(F.col(text), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    own = frame.select(
+        F.struct(*(F.col(f"`{x}`") for x in frame.columns if x != text)).alias("__row"),
+        F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{source}`").alias("__from"),
+    )
+    cut = placed(own, "__key", "__text", "__from", seed).withColumn("taken", taken()).filter("taken > 0")
+    units = F.regexp_extract_all(F.col("__text"), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
     number = "div(first + i, block)"
     cut = cut.withColumn("__units", F.when(F.col("taken") % F.col("size") != 0, units))
     part = lambda k: F.expr(f"array_join(filter(__units, (w, i) -> {times(number)} >= {k}), '')")
     both = [
-        F.when(F.col("taken") >= k * F.col("size"), F.col(text)).when(F.col("__units").isNotNull(), part(k)).otherwise(F.lit(""))
+        F.when(F.col("taken") >= k * F.col("size"), F.col("__text")).when(F.col("__units").isNotNull(), part(k)).otherwise(F.lit(""))
         for k in (1, 2)
     ]
-    out = cut.withColumn(text, F.explode(F.array(*both))).filter(F.col(text) != "")
-    return out.select(*frame.columns)
+    out = cut.withColumn("__text", F.explode(F.array(*both))).filter(F.col("__text") != "")
+    return out.select(*(F.col("__text" if x == text else f"__row.`{x}`").alias(x) for x in frame.columns))
