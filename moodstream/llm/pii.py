@@ -1,7 +1,8 @@
 """Personal data replaced by surrogates.
 
-Detection finds e-mail addresses, phone numbers, payment cards, IPv4 addresses, US social security numbers, IBANs, access keys, tokens and
-passwords, and names behind a title. Every find has a kind and a canonical value (digits only, lower case, one name word), so the same
+Detection finds e-mail addresses, phone numbers, payment cards, IPv4 and IPv6 addresses, US social security numbers, IBANs, access keys, tokens and
+passwords, and names behind a title. A name word found behind a title is found wherever else the same text has it as a whole word in the same
+spelling or in capitals, before or after. Every find has a kind and a canonical value (digits only, lower case, one name word), so the same
 thing written in two ways, or in two documents, is one entity: it gets one surrogate everywhere.
 
 A surrogate is a keyed permutation (a Feistel network over the free characters) of the canonical value within its form: digits become digits,
@@ -10,14 +11,16 @@ laid into the spelling found. Name words become names of the gender that the tit
 
 Collision check: the distinct entities of all documents are one table. A surrogate that another entity has too, or that is itself the
 value of an entity, is drawn again with the next attempt number, until there is none. What needed another attempt is a small table: up to
-MOST_SENT rows of MOST_LONG characters travel to the tasks, more are joined by document.
+MOST_SENT rows of MOST_LONG characters travel to the tasks, more are joined by document. Clashes left after MOST_ATTEMPTS attempts raise an error.
 
 Texts without finds come back unchanged. Null stays null, empty stays empty. Rows with equal key are treated alike. Columns not named are
-kept but not read. An empty table gives an empty result.
+kept but not read; if one is named `pii_kinds`, the added column gets an underscore more. Texts are searched whole, whatever their length. An
+empty table gives an empty result.
 """
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -63,19 +66,23 @@ _TITLE = "|".join(sorted((x for xs in TITLES.values() for x in xs), key=len, rev
 _GENDER = {x: g for g, xs in TITLES.items() for x in xs}
 _FINDERS = {
     "email": r"(?<![\w.+-])[\w+-][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|(?<![A-Za-z0-9])(?:gh[pousr]_|sk-|xox[abp]-)[A-Za-z0-9-]{16,}",
+    "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|(?<![A-Za-z0-9])(?:gh[pousr]_|sk-|(?:sk|pk|rk)_(?:live|test)_|xox[abp]-)[A-Za-z0-9-]{16,}"
+    r"|(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
     "secret": r"(?i:(?:password|passwd|pwd|secret|api[_-]?key|token)\s*[=:]\s*[\"']?)(?P<secret_value>[^\s\"']{6,})",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
+    "ip6": r"(?<![\w:.])(?=[0-9A-Fa-f]{0,4}:[0-9A-Fa-f:]*:)[0-9A-Fa-f:]{6,39}(?![\w:])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])(?:[0-9]{4}[ -]?){3}[0-9]{4}(?![0-9])|(?<![0-9])[0-9]{13,19}(?![0-9])|(?<![0-9])3[0-9]{3}[ -][0-9]{6}[ -][0-9]{5}(?![0-9])",
-    "phone": r"(?<![\w.])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])|(?<![\w.+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![\w.])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])|(?<![\w.+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+    r"|(?<![\w.+])0[1-9](?:[ .-][0-9]{2}){4}(?![0-9])",
     "name": rf"\b(?P<title>{_TITLE})\b\.?[  ](?P<words>{_NAME}(?:[ -]{_NAME}){{0,2}})",
 }
 _ALL = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in _FINDERS.items()))
 _NUMBER = re.compile("|".join(f"(?P<{kind}>{_FINDERS[kind]})" for kind in ("ip", "ssn", "card", "phone")))
+_WHOLE = re.compile(r"[^\W\d_]+")
 _DIGIT_OR_AT = re.compile(r"[0-9@]")
-_WORDS_OF_SECRETS = ("passw", "pwd", "secret", "token", "api", "sk-", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox")
+_WORDS_OF_SECRETS = ("passw", "pwd", "secret", "token", "api", "sk-", "sk_", "pk_", "rk_", "eyj", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox")
 _TITLED = tuple(x + end for xs in TITLES.values() for x in xs for end in (" ", ".", "\u00a0"))
 
 
@@ -128,10 +135,42 @@ def phone_end(text: str, start: int, end: int) -> int | None:
     return ends[-1][0] if ends else None
 
 
-def finds(text: str | None) -> Iterator[tuple[int, int, str, str]]:
+def exploded(value: str) -> str | None:
+    """An IPv6 address in full, None if it is none or names no host."""
+    try:
+        address = ipaddress.IPv6Address(value)
+    except ValueError:
+        return None
+    return None if int(address) < 1 << 64 else address.exploded
+
+
+def finds(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical value) of everything found, from left to right, without overlap."""
     if not text or not may_hold(text):
-        return
+        return []
+    found = list(_by_form(text))
+    names = {}
+    for start, end, kind, value in found:
+        if kind == "surname" or kind.startswith("given"):
+            for spelling in (text[start:end], text[start:end].upper()):
+                names.setdefault(spelling, (kind, value))
+    if not names:
+        return found
+    out, number = [], 0
+    for word in _WHOLE.finditer(text):
+        if word[0] not in names:
+            continue
+        start, end = word.span()
+        while number < len(found) and found[number][1] <= start:
+            out.append(found[number])
+            number += 1
+        if number == len(found) or end <= found[number][0]:
+            out.append((start, end, *names[word[0]]))
+    return out + found[number:]
+
+
+def _by_form(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """What its own form or a title before it tells, from left to right, without overlap."""
     at = 0
     while found := _ALL.search(text, at):
         kind, value, (start, end) = found.lastgroup, found[0], found.span()
@@ -153,6 +192,12 @@ def finds(text: str | None) -> Iterator[tuple[int, int, str, str]]:
                 yield start, end, kind, ".".join(str(int(x)) for x in value.split("."))
             else:
                 at = start + 1
+        elif kind == "ip6":
+            full = exploded(value)
+            if full:
+                yield start, end, kind, full
+            else:
+                at = start + 1
         elif kind == "name":
             gender, place = _GENDER[found["title"]], found.start("words")
             words = list(re.finditer(_NAME, found["words"]))
@@ -251,16 +296,22 @@ def surrogate(kind: str, value: str, attempt: int, secret: bytes) -> str:
                 return out
     if kind == "phone":
         out = value
+        national = len(value) == 10 and value[0] == "0"  # the 0 before an area code stays, and is the only one
         while True:  # area codes don't begin with 0 or 1
-            out = permuted(out, _free(out, max(0, len(value) - 10)), secret, tweak)
-            if len(value) < 10 or (out[-10] in "01") == (value[-10] in "01"):
+            out = permuted(out, _free(out, 1 if national else max(0, len(value) - 10)), secret, tweak)
+            if national:
+                if (out[1] == "0") == (value[1] == "0"):
+                    return out
+            elif len(value) < 10 or (out[-10] in "01") == (value[-10] in "01"):
                 return out
+    if kind == "ip6":  # the first group tells the kind of address and stays
+        return permuted(value, [(i, "0123456789abcdef") for i in range(5, len(value)) if value[i] != ":"], secret, tweak)
     if kind == "iban":
         out = permuted(value, _free(value, 4), secret, tweak)
         check = 98 - iban_rest(out[:2] + "00" + out[4:])
         return f"{out[:2]}{check:02d}{out[4:]}"
     if kind == "key":
-        start = 4 if value[:4] in ("AKIA", "ASIA") else len(re.match(r"[a-z]+[_-]|xox.-", value)[0])
+        start = len(re.match(r"AKIA|ASIA|eyJ[^.]*\.|[spr]k_(?:live|test)_|[a-z]+[_-]", value)[0])
         return permuted(value, _free(value, start), secret, tweak)
     if kind == "surname" or kind.startswith("given"):
         script, seed = script_of(value), _number(secret, kind, attempt, value)
@@ -286,6 +337,9 @@ def laid_out(spelling: str, kind: str, new: str) -> str:
         for place, c in zip(reversed(own), reversed(new), strict=False):  # a leading country code stays
             out[place] = c
         return "".join(out)
+    if kind == "ip6":
+        new = str(ipaddress.IPv6Address(new))
+        return new.upper() if spelling.isupper() else new
     if kind == "surname" or kind.startswith("given"):
         return new.upper() if spelling.isupper() and len(spelling) > 1 else new.capitalize()
     if kind == "email" and len(new) == len(spelling):
@@ -345,27 +399,31 @@ def attempts_needed(found: DataFrame, secret: bytes) -> DataFrame:
             "clashes",
         )
         if clashes.isEmpty():
-            break
+            return drawn.filter("attempt > 0").select("kind", "value", "attempt")
         rest = drawn.join(clashes.select("kind", "value"), ["kind", "value"], "left_anti")
         drawn = written(rest.unionByName(clashes.mapInArrow(draw, schema)), "surrogates")
-    return drawn.filter("attempt > 0").select("kind", "value", "attempt")
+    raise RuntimeError(f"surrogates still clash after {MOST_ATTEMPTS} attempts: some form has too few values for its entities")
 
 
 def with_surrogates(frame: DataFrame, secret: bytes, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The frame with its text replaced, and the kinds found as `pii_kinds` (array of string)."""
+    """The frame with its text replaced, and the kinds found as `pii_kinds` (array of string), an underscore more for each column of that name."""
+    added, over = "pii_kinds", "__attempts"
+    while added in frame.columns:
+        added += "_"
+    while over in frame.columns:
+        over += "_"
     found = written(entities(frame, key, text).distinct(), "entities")
     again = written(attempts_needed(found, secret), "attempts")
     few = again.select(F.count("*"), F.coalesce(F.max(F.length("value")), F.lit(0))).first()
     rest = [x for x in frame.columns if x != text]
-    own = frame.select(*(F.col(x) for x in rest), F.col(text).cast("string").alias(text))
-    over = "__attempts"
+    own = frame.select(*(F.col(f"`{x}`") for x in rest), F.col(text).cast("string").alias(text))
     if few[0] <= MOST_SENT and few[1] <= MOST_LONG:
         sent = frame.sparkSession.sparkContext.broadcast({(x.kind, x.value): x.attempt for x in again.collect()})
         own = own.withColumn(over, F.lit(None).cast("array<struct<kind:string,value:string,attempt:int>>"))
     else:
         sent = None
         by_key = found.join(again, ["kind", "value"]).groupBy("key").agg(F.collect_set(F.struct("kind", "value", "attempt")).alias(over))
-        own = own.join(by_key, own[key].eqNullSafe(by_key["key"]), "left").drop("key")
+        own = own.join(by_key, own[key].eqNullSafe(by_key["key"]), "left").select(*(own[f"`{x}`"] for x in own.columns), by_key[over])
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = sent.value if sent else {}
@@ -376,9 +434,9 @@ def with_surrogates(frame: DataFrame, secret: bytes, key: str = "doc_id", text:
                 new, seen = replaced(value.as_py(), secret, special or shared)
                 texts.append(new)
                 kinds.append(seen)
-            added = [pa.array(texts, pa.string()), pa.array(kinds, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], *added], [*rest, text, "pii_kinds"])
+            new = [pa.array(texts, pa.string()), pa.array(kinds, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], *new], [*rest, text, added])
 
     kinds = "".join(f"`{x}` {frame.schema[x].dataType.simpleString()}, " for x in rest)
-    out = own.select(*rest, text, over).mapInArrow(put, f"{kinds}`{text}` string, pii_kinds array<string>")
-    return out.select(*frame.columns, "pii_kinds")
+    out = own.select(*(f"`{x}`" for x in rest), f"`{text}`", over).mapInArrow(put, f"{kinds}`{text}` string, {added} array<string>")
+    return out.select(*(f"`{x}`" for x in frame.columns), added)
