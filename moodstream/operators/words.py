@@ -9,6 +9,16 @@ from moodstream.functions.text import token_rows, tokens
 from moodstream.operators.ranking import top_per_group
 
 
+def by_batch(messages: DataFrame, batch: str | Column = "batch_ts") -> DataFrame:
+    """Messages dealt out so that a task holds few batches, before their words are counted by batch.
+
+    A task then meets the words of a batch again and again and adds them up in a small table, whatever the length of the history: dealt out otherwise, every
+    task has words of all batches, hardly any of them twice, and sends nearly all of them on. A batch with too many messages for one task is split among
+    several; the counts by (batch, word) that follow are added up across tasks.
+    """
+    return messages.withColumn("_at", F.xxhash64(batch)).hint("rebalance", "_at").drop("_at")
+
+
 def explode_words(
     messages: DataFrame, keep: Sequence[str] = (), words: Column | None = None
 ) -> DataFrame:

@@ -79,6 +79,11 @@ def copies(spark: SparkSession, folder: str, since: Column | None = None) -> Dat
     )
 
 
+def arrived_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """(batch_ts, copies, text) of the whole history: a text once for each batch it arrived in."""
+    return copies(spark, folder).join(texts(spark, folder), "doc_id").select("batch_ts", "copies", "text")
+
+
 def newest_copies(spark: SparkSession, folder: str, n: int, having: Column) -> DataFrame:
     """`copies` of the n newest batches with at least one message whose text fulfils `having`.
 

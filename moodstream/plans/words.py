@@ -9,6 +9,7 @@ from moodstream.operators.features import term_frequency as term_frequency_of
 from moodstream.operators.heavy import heavy_words
 from moodstream.operators.words import (
     as_wide_rows,
+    by_batch,
     count_words,
     explode_words,
     from_wide_rows,
@@ -18,7 +19,7 @@ from moodstream.operators.words import (
 from moodstream.plans.messages import (
     ENGLISH_SQL,
     STREAM_SQL,
-    copies,
+    arrived_texts,
     english,
     messages,
     newest_word_copies,
@@ -69,19 +70,10 @@ vocabulary AS (
 def all_counts(spark: SparkSession, folder: str) -> DataFrame:
     """(batch_ts, word, cnt) of the whole history.
 
-    Texts are spread by document, tokenised and counted there once, and meet their arrivals in the
-    same partition: grouping by (doc_id, word) and the join both reuse the one shuffle on doc_id.
+    Texts meet their arrivals by document and then travel on to their batches, where they are tokenised and counted.
     """
-    per_document = count_words(
-        explode_words(texts(spark, folder).repartition("doc_id"), ["doc_id"]), ["doc_id"]
-    ).withColumnRenamed("cnt", "per_copy")
-    return (
-        copies(spark, folder)
-        .join(per_document, "doc_id")
-        .select("batch_ts", "word", (F.col("copies") * F.col("per_copy")).alias("occurrences"))
-        .groupBy("batch_ts", "word")
-        .agg(F.sum("occurrences").alias("cnt"))
-    )
+    words = explode_words(by_batch(arrived_texts(spark, folder)), ["batch_ts", "copies"])
+    return count_words(words, ["batch_ts"], copies="copies")
 
 
 def newest_counts(spark: SparkSession, folder: str, n: int) -> DataFrame:
@@ -238,7 +230,5 @@ PARTS = 50  # a heavy word makes up a fiftieth of its batch
 )
 def heavy_words_by_window(spark: SparkSession, folder: str) -> DataFrame:
     """Words that make up a fiftieth of an hour's words, found by summaries."""
-    per_document = count_words(explode_words(spread(texts(spark, folder), "doc_id"), ["doc_id"]), ["doc_id"])
-    arriving = copies(spark, folder).join(per_document, "doc_id")
-    weighed = arriving.select("batch_ts", "word", (F.col("copies") * F.col("cnt")).alias("cnt"))
-    return heavy_words(weighed, PARTS)
+    words = explode_words(by_batch(arrived_texts(spark, folder)), ["batch_ts", "copies"])
+    return heavy_words(words, PARTS, copies="copies")

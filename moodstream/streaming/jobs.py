@@ -13,7 +13,7 @@ from moodstream.functions.clock import window_start
 from moodstream.operators.model import LinearModel, score_messages
 from moodstream.operators.recent import recent_per_batch
 from moodstream.operators.sentiment import count_predictions, sentiment_history
-from moodstream.operators.words import count_words, explode_words, top_words
+from moodstream.operators.words import by_batch, count_words, explode_words, top_words
 from moodstream.streaming.tables import SHOWN, TOP, ServingTables, add_batch, run_of
 
 OUTPUTS = ("words", "recent_text", "sentiment")
@@ -26,12 +26,8 @@ def trigger_options(every: str | None) -> dict:
 
 def windowed_words(messages: DataFrame, window: str) -> DataFrame:
     """(batch_ts, word, cnt) per window."""
-    words = explode_words(messages, ["event_ts"])
-    return (
-        words.groupBy(F.window("event_ts", window).alias("w"), "word")
-        .agg(F.count("*").alias("cnt"))
-        .select(F.col("w.start").alias("batch_ts"), "word", "cnt")
-    )
+    placed = messages.select(window_start(F.col("event_ts"), window).alias("batch_ts"), "text")
+    return count_words(explode_words(by_batch(placed), ["batch_ts"]), ["batch_ts"])
 
 
 def windowed_sentiment(messages: DataFrame, model: LinearModel, window: str) -> DataFrame:
@@ -142,7 +138,9 @@ def final_words(messages: DataFrame, window: str, delay: str) -> DataFrame:
     Counts are state by window and word, spread over the tasks by both, so a window that holds a third of all messages is
     many small keys. A window leaves the state when the newest event is `delay` past its end; messages that come later are dropped.
     """
-    return windowed_words(messages.withWatermark("event_ts", delay), window)
+    placed = messages.withWatermark("event_ts", delay).select(F.window("event_ts", window).alias("w"), "text")
+    words = explode_words(by_batch(placed, F.col("w.start")), ["w"])
+    return count_words(words, ["w"]).select(F.col("w.start").alias("batch_ts"), "word", "cnt")
 
 
 def start_final_words(
