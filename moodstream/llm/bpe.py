@@ -38,8 +38,10 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 from moodstream.llm.shared import new_folder
 
 SHORT = 48
-#: Characters of texts in a block and of a text that is cut piece by piece, words in a row, and words whose ids are packed at once.
-BLOCK, LONG, WORDS, PACKED = 32 << 20, 1 << 22, 1 << 12, 1 << 19
+#: Characters of texts in a block and of a text that is cut piece by piece, words in a row, words whose ids are packed at once, and bytes of ids or numbers that leave a task at once.
+BLOCK, LONG, WORDS, PACKED, SENT = 32 << 20, 1 << 22, 1 << 12, 1 << 18, 1 << 22
+#: Characters of texts for a task that folds words. Each task gets a copy of the ranks, some 100,000 objects, so fewer tasks cost less.
+FOLDED = 16 << 20
 #: Numbers of words in a block begin here; ids are less.
 OWN = 1 << 31
 #: Most buckets that Spark allows by default.
@@ -179,7 +181,7 @@ class _Block(dict):
 
 
 def _cut(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str]) -> tuple[DataFrame, int]:
-    """(block, row, places, first, words) in buckets by block, and their number: a row of the frame with its ids and numbers, or words of a block."""
+    """(block, row, places, first, words) in buckets by block: a row of the frame with its ids and numbers, or words of a block; and the tasks to fold the words in."""
     pattern, known = tokens.pattern, {}
     for token, rank in tokens.ranks.items():
         try:
@@ -208,16 +210,19 @@ def _cut(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str]) -> tup
 
         for batch in batches:
             kind = batch.column(0).type
-            start, places = 0, []
+            start, places, held = 0, [], 0
             for i, value in enumerate(batch.column(1)):
                 own = value.as_py() or ""
                 found = cuts.findall(own) if len(own) < LONG else (x[0] for x in cuts.finditer(own))
                 places.append(np.fromiter(map(block.__getitem__, found), "<u4").tobytes())
                 block.size += len(own)
-                if block.size >= BLOCK:
+                held += len(places[-1])
+                if block.size >= BLOCK or held >= SENT:
                     yield rows(batch.column(0).slice(start, i + 1 - start), places)
+                    start, places, held = i + 1, [], 0
+                if block.size >= BLOCK:
                     yield words()
-                    start, places, block = i + 1, [], _Block(known)
+                    block = _Block(known)
             yield rows(batch.column(0).slice(start), places)
         if block.words:
             yield words()
@@ -234,12 +239,13 @@ def _cut(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str]) -> tup
     spark = frame.sparkSession
     size = frame.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
     buckets = min(MOST_BUCKETS, max(1, 8 * size // BLOCK))
+    folding = max(frame.sparkSession.sparkContext.defaultParallelism, size // FOLDED)
     coded = given.mapInArrow(cut, schema)
     name = f"bpe_{uuid.uuid4().hex}"
     coded.write.bucketBy(buckets, "block").option("path", new_folder(spark, "bpe")).option("compression", "zstd").saveAsTable(name)
     stored = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the name only: the table is an external one
-    return stored, buckets
+    return stored, folding
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,10 +296,9 @@ def _unpacked(answers: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def _encoded(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str], digest: bool) -> DataFrame:
     """(row, ids) or, for digests, (row, raw, back): ids as little-endian unsigned 32-bit numbers, and the bytes they decode to."""
-    stored, buckets = _cut(frame, tokens, text, keep)
+    stored, tasks = _cut(frame, tokens, text, keep)
     texts = stored.filter(F.col("words").isNull()).select("block", "row", "places")
     own = stored.filter(F.col("words").isNotNull()).select("block", "first", F.posexplode("words").alias("at", "word"))
-    tasks = max(buckets, frame.sparkSession.sparkContext.defaultParallelism)
     dealt = own.select("block", (F.col("first") + F.col("at")).alias("place"), "word").repartition(tasks, "word")
     rows = Window.partitionBy("word").orderBy("block")
     once = dealt.withColumn("nth", F.row_number().over(rows)).withColumn("ids", F.when(F.col("nth") == 1, tokens.folded(F.col("word"))))
@@ -305,9 +310,16 @@ def _encoded(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str], di
         place, sizes, values = _unpacked([x.as_py() for x in right["answers"]])
         order = np.argsort(place)
         starts, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
-        out, back = [], []
+        out, back, size, parts = [], [], 0, []
+
+        def part() -> pa.Table:
+            row = left["row"].slice(sum(map(len, parts)), len(out))
+            if digest:
+                return pa.table({"row": row, "raw": pa.array(out, pa.binary()), "back": pa.array(back, pa.binary())})
+            return pa.table({"row": row, "ids": pa.array(out, pa.list_(pa.int32()))})
+
         for value in left["places"]:
-            places = np.frombuffer(value.as_py(), "<u4")
+            places = np.frombuffer(value.as_buffer(), "<u4")
             word = np.flatnonzero(places >= OWN)
             number = (places[word] - OWN).astype(np.int64)
             n = np.ones(len(places), np.int64)
@@ -320,9 +332,11 @@ def _encoded(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str], di
             out.append(ids.astype("<u4").tobytes() if digest else ids.astype(np.int32))
             if digest:
                 back.append(b"".join(map(pieces.__getitem__, ids.tolist())))
-        if digest:
-            return pa.table({"row": left["row"], "raw": pa.array(out, pa.binary()), "back": pa.array(back, pa.binary())})
-        return pa.table({"row": left["row"], "ids": pa.array(out, pa.list_(pa.int32()))})
+            size += ids.nbytes
+            if size >= SENT:  # a block in one batch would be held whole three times, in Python, on its way and in the JVM
+                parts.append(part())
+                out, back, size = [], [], 0
+        return pa.concat_tables([*parts, part()])
 
     fields = [StructField("raw", BinaryType()), StructField("back", BinaryType())] if digest else [StructField("ids", ArrayType(IntegerType()))]
     schema = StructType([StructField("row", stored.schema["row"].dataType), *fields])
