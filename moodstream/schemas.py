@@ -52,6 +52,9 @@ WORD_COUNTS = T.StructType(
     ]
 )
 
+# The newest event time that a job has met.
+SEEN = T.StructType([T.StructField("batch_ts", T.TimestampType())])
+
 # Input that a run has committed: offsets of one partition of a topic, or a file (part and offsets 0).
 COVERED = T.StructType(
     [

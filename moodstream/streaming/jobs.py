@@ -14,7 +14,7 @@ from moodstream.operators.model import LinearModel, score_messages
 from moodstream.operators.recent import recent_per_batch
 from moodstream.operators.sentiment import count_predictions, sentiment_history
 from moodstream.operators.words import by_batch, count_words, explode_words, top_words
-from moodstream.streaming.tables import SHOWN, TOP, ServingTables, add_batch, run_of
+from moodstream.streaming.tables import SHOWN, TOP, Closing, ServingTables, add_batch, run_of
 
 OUTPUTS = ("words", "recent_text", "sentiment")
 
@@ -74,7 +74,7 @@ def micro_batch_outputs(model: LinearModel, epoch: int, show: bool = False):
     return frames
 
 
-def _writer(outputs_of, tables: ServingTables, run: str):
+def _writer(outputs_of, tables: ServingTables, run: str, closing: Closing | None = None):
     """Write all outputs of a micro-batch and commit them together.
 
     Texts are kept in memory or on disk of the executors while the outputs are made; nothing of them comes to
@@ -85,7 +85,7 @@ def _writer(outputs_of, tables: ServingTables, run: str):
         messages = messages.persist()
         try:
             if messages.count():  # reads all of it, as state above needs, also where the micro-batch is known already
-                add_batch(messages, tables, run, epoch, outputs_of(epoch))
+                add_batch(messages, tables, run, epoch, outputs_of(epoch), closing=closing)
         finally:
             messages.unpersist()
 
@@ -132,25 +132,14 @@ def start_micro_batches(
     return _started(messages, write_micro_batch(model, tables, run, show), checkpoint, f"all-{run}", every)
 
 
-def final_words(messages: DataFrame, window: str, delay: str) -> DataFrame:
-    """(batch_ts, word, cnt) of windows that no message can reach any more.
-
-    Counts are state by window and word, spread over the tasks by both, so a window that holds a third of all messages is
-    many small keys. A window leaves the state when the newest event is `delay` past its end; messages that come later are dropped.
-    """
-    placed = messages.withWatermark("event_ts", delay).select(F.window("event_ts", window).alias("w"), "text")
-    words = explode_words(by_batch(placed, F.col("w.start")), ["w"])
-    return count_words(words, ["w"]).select(F.col("w.start").alias("batch_ts"), "word", "cnt")
-
-
 def start_final_words(
     messages: DataFrame, tables: ServingTables, window: str = "1 second", delay: str = "1 minute", every: str | None = "1 second", run: str | None = None
 ) -> StreamingQuery:
-    """Write the top words of every window once, when it is closed. The state is bounded by the watermark, the table by the top words."""
+    """Write the top words of every window once, when it is closed: when the newest event is `delay` past its end. Messages that come later are dropped."""
     checkpoint = tables.checkpoint("final-words")
     run = run or run_of(messages.sparkSession, checkpoint)
-    write = _writer(lambda epoch: lambda counts: {"words": top_words(counts, TOP)}, tables, run)
-    return _started(final_words(messages, window, delay), write, checkpoint, f"final-words-{run}", every)
+    write = _writer(lambda epoch: lambda counted: {"open": windowed_words(counted, window)}, tables, run, Closing(window, delay))
+    return _started(messages, write, checkpoint, f"final-words-{run}", every)
 
 
 def _started(messages: DataFrame, write, checkpoint: str, name: str, every: str | None) -> StreamingQuery:

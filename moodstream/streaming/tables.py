@@ -8,28 +8,40 @@ A commit also says which input it covers: ranges of offsets by topic and partiti
 
 The log holds the batch times of every part. Views of the newest batches open only the parts that can hold them, and `compact` merges the parts of closed periods into one, so
 their number does not grow with the history. `vacuum` removes files that no commit names any more.
+
+Windows that are written once, when they are closed, wait as parts of `open`; see `Closing`.
 """
 
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moodstream.functions.clock import window_start
 from moodstream.operators.recent import recent_per_batch
 from moodstream.operators.words import newest_batches, top_words
-from moodstream.schemas import COVERED, RECENT_TEXT, SENTIMENT_HISTORY, WORD_COUNTS
+from moodstream.schemas import COVERED, RECENT_TEXT, SEEN, SENTIMENT_HISTORY, WORD_COUNTS
 from moodstream.streaming.log import Conflict, Log, Part, State, newest_cut
 
 TOP = 100  # words kept per batch
 SHOWN = 5  # messages kept per batch
 ATTEMPTS = 20
 
-#: Table name -> row type. `latest` holds the top words of the newest batch.
-SCHEMAS = {"words": WORD_COUNTS, "recent_text": RECENT_TEXT, "sentiment": SENTIMENT_HISTORY, "latest": WORD_COUNTS, "covered": COVERED}
+#: Table name -> row type. `latest` holds the top words of the newest batch, `open` all words of windows not closed yet, `seen` the newest event time.
+SCHEMAS = {
+    "words": WORD_COUNTS,
+    "recent_text": RECENT_TEXT,
+    "sentiment": SENTIMENT_HISTORY,
+    "latest": WORD_COUNTS,
+    "covered": COVERED,
+    "open": WORD_COUNTS,
+    "seen": SEEN,
+}
 
 
 @dataclass(frozen=True)
@@ -119,12 +131,74 @@ def _snapshot(spark: SparkSession, tables: ServingTables, state: State, words: l
     return _written(tables, {"latest": top_words(summed, top).coalesce(1)}, "latest"), [x.path for x in old]
 
 
+def micros(spark: SparkSession, length: str) -> int:
+    """An interval in microseconds, independent of time zones."""
+    begin = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    found = spark.sql(f"SELECT {begin} + CAST(:length AS INTERVAL) - {begin}", args={"length": length}).first()[0]
+    return found // timedelta(microseconds=1)
+
+
+@dataclass(frozen=True)
+class Closing:
+    """Windows are closed when the newest event is `delay` past their end, as by Spark's watermark; messages that come later are dropped.
+
+    The counts of a micro-batch are a part of `open`. With the micro-batch whose newest event closes windows, the parts that hold these are added up and their top
+    words become a part of `words`; parts whose windows are all closed are taken away. Nothing is held in memory between micro-batches, and each count
+    is read only when its part has a window to close. All of it is in the micro-batch's one commit.
+    """
+
+    window: str
+    delay: str
+
+    def limit(self, spark: SparkSession, seen: list[Part]) -> int:
+        """Windows that end by this time are closed. To the millisecond, and not before 1970, as a watermark is."""
+        delay = micros(spark, self.delay)
+        if delay < 0:
+            raise ValueError(f"a delay of less than nothing: {self.delay}")
+        return max([0, *(x.last // 1000 * 1000 - delay for x in seen)])
+
+    def in_time(self, messages: DataFrame, state: State) -> DataFrame:
+        """Messages whose window was not closed before."""
+        spark = messages.sparkSession
+        over = self.limit(spark, state.of("seen")) - micros(spark, self.window)
+        placed = messages.withColumn("_start", F.unix_micros(window_start(F.col("event_ts"), self.window)))
+        return placed.filter(F.col("_start") > over).drop("_start")
+
+    def newest(self, messages: DataFrame, state: State) -> DataFrame:
+        """The row of `seen`: the newest event time up to now; none if there is none."""
+        known = max((x.last for x in state.of("seen")), default=None)
+        newest = F.greatest(F.max("event_ts"), F.timestamp_micros(F.lit(known).cast("bigint")))
+        return messages.agg(newest.alias("batch_ts")).filter("batch_ts is not null")
+
+    def closed(self, spark: SparkSession, tables: ServingTables, state: State, parts: list[Part], top: int) -> tuple[list[Part], list[str]]:
+        """The part of `words` for the windows that the new parts close, and the paths that are not needed any more."""
+        seen = [x for x in parts if x.table == "seen"]
+        if not seen:
+            return [], []
+        width = micros(spark, self.window)
+        over, due = (self.limit(spark, x) - width for x in (state.of("seen"), seen))
+        held = [x for x in [*state.of("open"), *parts] if x.table == "open"]
+        gone = [x.path for x in state.of("seen")] + [x.path for x in state.of("open") if x.last <= due]
+        holding = [x for x in held if x.first <= due and x.last > over]
+        if due <= over or not holding:
+            return [], gone
+        rows = _read(spark, tables, "open", holding).filter(F.unix_micros("batch_ts").between(over + 1, due))
+        summed = rows.groupBy("batch_ts", "word").agg(F.sum("cnt").alias("cnt"))
+        return _written(tables, {"words": top_words(summed, top)}, "closed"), gone
+
+
 def add_batch(
-    messages: DataFrame, tables: ServingTables, run: str, epoch: int, outputs: Callable[[DataFrame], dict[str, DataFrame]], top: int = TOP
+    messages: DataFrame,
+    tables: ServingTables,
+    run: str,
+    epoch: int,
+    outputs: Callable[[DataFrame], dict[str, DataFrame]],
+    top: int = TOP,
+    closing: Closing | None = None,
 ) -> bool:
     """Write what the messages of a micro-batch add and commit it; False if that has been done before.
 
-    `outputs` makes the frames of the tables from the messages that count.
+    `outputs` makes the frames of the tables from the messages that count. With `closing`, those are the messages that are in time, and closed windows are written too.
     """
     spark = messages.sparkSession
     log = Log(spark, tables.folder)
@@ -133,11 +207,16 @@ def add_batch(
         if state.epochs.get(run, -1) >= epoch:
             return False
         counted = uncovered(messages, tables, state, run)
-        frames = outputs(counted)
+        frames = outputs(counted if closing is None else closing.in_time(counted, state))
+        if closing is not None:
+            frames["seen"] = closing.newest(counted, state)
         if "source" in messages.columns:
             frames["covered"] = ranges_of(counted, run)
         parts = _written(tables, frames, f"{run}-{epoch:012d}")
-        latest, replaced = _snapshot(spark, tables, state, [x for x in parts if x.table == "words"], top)
+        done, over = ([], []) if closing is None else closing.closed(spark, tables, state, parts, top)
+        parts += done
+        latest, old = _snapshot(spark, tables, state, [x for x in parts if x.table == "words"], top)
+        replaced = [*over, *old]
         others = {k: v for k, v in state.epochs.items() if k != run}
         while True:
             try:
@@ -193,6 +272,7 @@ def read_recent_text(spark: SparkSession, tables: ServingTables, k: int = SHOWN,
 #: How parts become one part that readers can't tell from them.
 MERGED: dict[str, Callable[[DataFrame], DataFrame]] = {
     "words": lambda rows: rows.groupBy("batch_ts", "word").agg(F.sum("cnt").alias("cnt")),
+    "open": lambda rows: rows.groupBy("batch_ts", "word").agg(F.sum("cnt").alias("cnt")),
     "sentiment": lambda rows: rows.groupBy("batch_ts").agg(F.sum("negative").alias("negative"), F.sum("positive").alias("positive")),
     "recent_text": lambda rows: recent_per_batch(rows, SHOWN),
     "covered": lambda rows: rows.groupBy("run", "stream", "part").agg(F.min("first").alias("first"), F.max("last").alias("last")),
@@ -207,7 +287,7 @@ def compact(spark: SparkSession, tables: ServingTables, period: int = 3600, leas
     """
     log = Log(spark, tables.folder)
     state, width = log.state(), period * 1_000_000
-    times = [x.last for x in state.parts.values() if x.table != "covered"]
+    times = [x.last for x in state.parts.values() if x.table not in ("covered", "seen")]
     if not times:
         return 0
     closed = max(times) // width * width
