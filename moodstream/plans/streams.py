@@ -24,24 +24,27 @@ from moodstream.streaming.tables import (
 )
 
 CHUNKS = 4  # files of the streams that take several micro-batches
+MESSAGES = 25_000  # events of the table for each task that makes their messages
+GROUP = 4 << 20  # bytes of a row group in the files that a stream reads: a row group is read by one task
 
 
 def payload_stream(spark: SparkSession, folder: str, files: str | None = None, max_files: int | None = None) -> DataFrame:
     """Events as a stream of JSON payloads, as a topic would deliver them. `files`: a path or pattern in place of the table.
 
-    Message times are written in UTC, the time zone of the tables.
+    Message times are written in UTC, the time zone of the tables. Events are short and messages long, so events are dealt out before they meet their texts:
+    otherwise the few tasks that read them, or that a join makes of their bytes, would have all messages to write, parse and count.
     """
     path = f"{folder}/events.parquet"
     documents = table(spark, folder, "documents")
     total = documents.count()
+    tasks = max(2 * spark.sparkContext.defaultParallelism, table(spark, folder, "events").count() // MESSAGES)
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     # A stream takes no single file as its path, but a pattern that only that file or folder fits.
     events = reader.parquet(files or f"{folder}/events.parque[t]").withColumn("source", source(F.col("_metadata.file_path")))
-    carried = events.withColumn("doc_id", F.col("event_id") % total).join(
-        documents.select("doc_id", "text", "lang"), "doc_id"
-    )
+    texts = documents.select("doc_id", "text", "lang").repartition(tasks, "doc_id")
+    carried = events.withColumn("doc_id", F.col("event_id") % total).repartition(tasks, "doc_id").join(texts, "doc_id")
     message = F.struct(
         F.col("event_id").alias("id"),
         F.concat(F.col("ts").cast("string"), F.lit("Z")).alias("created_at"),
@@ -57,7 +60,7 @@ def chunked(spark: SparkSession, folder: str) -> str:
     """The events as CHUNKS files by event_id % CHUNKS; the folder they are in."""
     path = new_folder(spark, "events")
     events = table(spark, folder, "events").withColumn("chunk", F.col("event_id") % CHUNKS)
-    events.repartition("chunk").write.partitionBy("chunk").parquet(path)
+    events.repartition("chunk").write.option("parquet.block.size", GROUP).partitionBy("chunk").parquet(path)
     return path
 
 
@@ -244,7 +247,7 @@ def delivery(spark: SparkSession, folder: str, path: str, number: int) -> None:
     events = table(spark, folder, "events").withColumn("week", week)
     first = events.agg(F.min("week")).scalar()
     due = F.col("week") - first + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
-    events.filter(due == number).drop("week").coalesce(1).write.mode("append").parquet(path)
+    events.filter(due == number).drop("week").repartition(1).write.option("parquet.block.size", GROUP).mode("append").parquet(path)
 
 
 WEEKS = 7  # files: January in calendar weeks, and the late ones
