@@ -6,8 +6,8 @@ tables always show the same micro-batches. Late messages and batches that are st
 A commit also says which input it covers: ranges of offsets by topic and partition, or files. A run that reads input again that another run has committed
 (after a lost checkpoint) leaves the covered messages out before it counts, so each message counts once whether the new run starts at the beginning, in the middle or at the end.
 
-The log holds the batch times of every part. Views of the newest batches open only the parts that can hold them, and `compact` merges the parts of closed periods into one, so
-their number does not grow with the history. `vacuum` removes files that no commit names any more.
+The log holds the batch times of every part, and of its files, each of which holds a range of them. Views of the newest batches open only the files that can hold them, also of
+parts that reach over the whole history, and `compact` merges the parts of closed periods into one, so their number does not grow with the history. `vacuum` removes files that no commit names any more.
 
 Windows that are written once, when they are closed, wait as parts of `open`; see `Closing`.
 """
@@ -43,6 +43,9 @@ SCHEMAS = {
     "seen": SEEN,
 }
 
+#: Tables of (batch_ts, word, cnt) whose files hold ranges of batch times.
+RANGED = ("words", "open")
+
 
 @dataclass(frozen=True)
 class ServingTables:
@@ -81,18 +84,28 @@ def _read(spark: SparkSession, tables: ServingTables, name: str, parts: list[Par
 
 
 def _written(tables: ServingTables, frames: dict[str, DataFrame], mark: str) -> list[Part]:
-    """Write frames as parts, each below its table, and look up their batch times. Empty ones give no part."""
+    """Write frames as parts, each below its table, and look up their batch times. Empty ones give no part.
+
+    Words are most of it. They are dealt out by ranges of batch times, and of words within a batch, so that a file holds few batches and a large batch is several files.
+    """
     paths = {name: f"{name}/{mark}-{uuid.uuid4().hex[:12]}" for name in frames}
     for name, frame in frames.items():
-        frame.select(SCHEMAS[name].fieldNames()).write.parquet(f"{tables.folder}/{paths[name]}")
+        rows = frame.select(SCHEMAS[name].fieldNames())
+        if name in RANGED:
+            rows = rows.repartitionByRange("batch_ts", "word")
+        rows.write.parquet(f"{tables.folder}/{paths[name]}")
     spark = next(iter(frames.values())).sparkSession
     time = lambda name: F.unix_micros("batch_ts") if "batch_ts" in SCHEMAS[name].fieldNames() else F.lit(0).cast("bigint")
+    file = lambda name: F.col("_metadata.file_name") if name in RANGED else F.lit("")
     times = [
-        spark.read.schema(SCHEMAS[name]).parquet(f"{tables.folder}/{path}").select(F.lit(name).alias("name"), time(name).alias("t"))
+        spark.read.schema(SCHEMAS[name]).parquet(f"{tables.folder}/{path}").select(F.lit(name).alias("name"), file(name).alias("file"), time(name).alias("t"))
         for name, path in paths.items()
     ]
-    found = reduce(DataFrame.unionByName, times).groupBy("name").agg(F.min("t"), F.max("t"), F.count_distinct("t"))
-    return [Part(name, paths[name], *seen) for name, *seen in found.collect()]  # one row per table
+    once = reduce(DataFrame.unionByName, times).distinct()  # few: a time at the edge of two files is in both
+    zones = once.groupingSets([["name", "file"], ["name"]], "name", "file").agg(F.grouping("file"), F.min("t"), F.max("t"), F.count_distinct("t"))
+    found = zones.collect()  # one row per table, and one per file
+    files = {name: sorted(tuple([x[1], *x[3:]]) for x in found if x[0] == name and not x[2] and x[3] is not None) for name in RANGED}
+    return [Part(name, paths[name], *seen, tuple(files.get(name, ())) if len(files.get(name, ())) > 1 else ()) for name, _, whole, *seen in found if whole]
 
 
 def uncovered(messages: DataFrame, tables: ServingTables, state: State, run: str) -> DataFrame:
@@ -125,7 +138,7 @@ def _snapshot(spark: SparkSession, tables: ServingTables, state: State, words: l
     if not words or old and old[0].last > words[0].last:
         return [], []
     newest = words[0].last
-    holding = [x for x in [*state.of("words"), *words] if x.first <= newest <= x.last]
+    holding = [x for part in [*state.of("words"), *words] for x in part.pieces() if x.first <= newest <= x.last]
     rows = _read(spark, tables, "words", holding).filter(F.unix_micros("batch_ts") == newest)
     summed = rows.groupBy("batch_ts", "word").agg(F.sum("cnt").alias("cnt"))
     return _written(tables, {"latest": top_words(summed, top).coalesce(1)}, "latest"), [x.path for x in old]
@@ -179,7 +192,7 @@ class Closing:
         over, due = (self.limit(spark, x) - width for x in (state.of("seen"), seen))
         held = [x for x in [*state.of("open"), *parts] if x.table == "open"]
         gone = [x.path for x in state.of("seen")] + [x.path for x in state.of("open") if x.last <= due]
-        holding = [x for x in held if x.first <= due and x.last > over]
+        holding = [x for part in held for x in part.pieces() if x.first <= due and x.last > over]
         if due <= over or not holding:
             return [], gone
         rows = _read(spark, tables, "open", holding).filter(F.unix_micros("batch_ts").between(over + 1, due))
@@ -230,12 +243,13 @@ def add_batch(
 
 
 def read_parts(spark: SparkSession, tables: ServingTables, name: str, newest: int | None = None) -> DataFrame:
-    """All committed rows of a table, or those parts and rows that can belong to the `newest` batches."""
+    """All committed rows of a table, or those files and rows that can belong to the `newest` batches."""
     parts = Log(spark, tables.folder).state().of(name)
-    cut = None if newest is None else newest_cut(parts, newest)
+    pieces = [x for part in parts for x in part.pieces()]
+    cut = None if newest is None else newest_cut(pieces, newest)
     if cut is None:
         return _read(spark, tables, name, parts)
-    rows = _read(spark, tables, name, [x for x in parts if x.last >= cut])
+    rows = _read(spark, tables, name, [x for x in pieces if x.last >= cut])
     return rows.filter(F.col("batch_ts") >= F.timestamp_micros(F.lit(cut)))
 
 

@@ -168,3 +168,38 @@ def test_newest_cut():
 def test_tables_without_commits_are_empty(spark, tables):
     assert everything(spark, tables) == [[], [], [], []]
     assert compact(spark, tables) == 0 and vacuum(spark, tables) == 0
+
+
+def test_views_open_few_files_of_a_part_that_reaches_over_the_history(spark, tables, monkeypatch):
+    """Micro-batches that each hold the whole history: the newest batches are in few files of each, and so is what `_snapshot` reads."""
+    spark_conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "20"}
+    before = {k: spark.conf.get(k) for k in spark_conf}
+    opened, read = [], serving._read
+
+    def reads(spark, tables, name, parts):
+        if name == "words":
+            opened.append(parts)
+        return read(spark, tables, name, parts)
+
+    try:
+        for k, v in spark_conf.items():
+            spark.conf.set(k, v)
+        monkeypatch.setattr(serving, "_read", reads)
+        for run in range(3):
+            add_batch(messages(spark, range(run, 2000, 3), minutes=6), tables, "a", run, HOURLY)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    parts = Log(spark, tables.folder).state().of("words")
+    assert len(parts) == 3 and all(x.batches == 200 and len(x.files) > 10 for x in parts)
+    for part in parts:
+        assert (min(x.first for x in part.pieces()), max(x.last for x in part.pieces())) == (part.first, part.last)
+    assert all(len(x) <= 3 * 3 for x in opened)  # the snapshot after each micro-batch
+    opened.clear()
+    newest = sorted(read_words(spark, tables, newest=5).collect())
+    assert len(opened[0]) < sum(len(x.files) for x in parts) / 3
+    whole = sorted(read_words(spark, tables).collect())
+    last = sorted({x.batch_ts for x in whole})[-5:]
+    assert newest == [x for x in whole if x.batch_ts in last] and len({x.batch_ts for x in newest}) == 5
+    count = {(x.batch_ts, x.word): x.cnt for x in whole}
+    assert sum(v for (_, word), v in count.items() if word == "good") == 2000
