@@ -25,13 +25,14 @@ import os
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -39,9 +40,11 @@ from moodstream.llm.shared import new_folder
 
 SHORT = 48
 #: Characters of texts in a block and of a text that is cut piece by piece, words in a row, words whose ids are packed at once, and bytes of ids or numbers that leave a task at once.
-BLOCK, LONG, WORDS, PACKED, SENT = 32 << 20, 1 << 22, 1 << 12, 1 << 18, 1 << 22
+BLOCK, LONG, WORDS, PACKED, SENT = 32 << 20, 1 << 22, 1 << 12, 1 << 16, 1 << 22
 #: Characters of texts for a task that folds words. Each task gets a copy of the ranks, some 100,000 objects, so fewer tasks cost less.
 FOLDED = 16 << 20
+#: Rows of texts that go to a task that cuts at once: a batch is held by the JVM, on its way and in Python.
+ROWS = 1 << 9
 #: Numbers of words in a block begin here; ids are less.
 OWN = 1 << 31
 #: Most buckets that Spark allows by default.
@@ -180,6 +183,18 @@ class _Block(dict):
         return number
 
 
+@contextmanager
+def _batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows at most, for what is run inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = int(spark.conf.get(name))
+    spark.conf.set(name, min(before, rows) if before > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _cut(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str]) -> tuple[DataFrame, int]:
     """(block, row, places, first, words) in buckets by block: a row of the frame with its ids and numbers, or words of a block; and the tasks to fold the words in."""
     pattern, known = tokens.pattern, {}
@@ -242,7 +257,8 @@ def _cut(frame: DataFrame, tokens: Tokenizer, text: str, keep: list[str]) -> tup
     folding = max(frame.sparkSession.sparkContext.defaultParallelism, size // FOLDED)
     coded = given.mapInArrow(cut, schema)
     name = f"bpe_{uuid.uuid4().hex}"
-    coded.write.bucketBy(buckets, "block").option("path", new_folder(spark, "bpe")).option("compression", "zstd").saveAsTable(name)
+    with _batches_of(spark, ROWS):
+        coded.write.bucketBy(buckets, "block").option("path", new_folder(spark, "bpe")).option("compression", "zstd").saveAsTable(name)
     stored = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the name only: the table is an external one
     return stored, folding

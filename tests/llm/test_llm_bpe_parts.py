@@ -4,6 +4,7 @@ import re
 
 import public_tokenizers
 import pytest
+from pyspark.sql import DataFrameWriter
 
 from moodstream.llm import bpe
 from moodstream.llm.bpe_query import RANKS, digests
@@ -39,3 +40,18 @@ def test_words_are_folded_in_few_tasks(spark, short, monkeypatch):
     monkeypatch.setattr(bpe, "BLOCK", 256)  # many buckets
     plan = digests(short)._jdf.queryExecution().optimizedPlan().toString()
     assert [int(x) for x in re.findall(r"RepartitionByExpression \[word#\d+\], (\d+)", plan)] == [spark.sparkContext.defaultParallelism]
+
+
+def test_texts_go_to_the_cut_in_short_batches(spark, short, monkeypatch):
+    """Also where the session asks for longer ones, which it has again afterwards."""
+    name, seen, save = "spark.sql.execution.arrow.maxRecordsPerBatch", [], DataFrameWriter.saveAsTable
+
+    def saved(writer, *given, **named):
+        seen.append(int(spark.conf.get(name)))
+        return save(writer, *given, **named)
+
+    whole, before = digested(short), spark.conf.get(name)
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", saved)
+    assert digested(short) == whole and seen == [min(int(before), bpe.ROWS)] and bpe.ROWS < 10_000
+    monkeypatch.setattr(bpe, "ROWS", 3)
+    assert digested(short) == whole and seen[1:] == [3] and spark.conf.get(name) == before
