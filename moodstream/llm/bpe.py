@@ -40,7 +40,7 @@ from moodstream.llm.shared import new_folder
 
 SHORT = 48
 #: Characters of texts in a block and of a text that is cut piece by piece, words in a row, words whose ids are packed at once, and bytes of ids or numbers that leave a task at once.
-BLOCK, LONG, WORDS, PACKED, SENT = 32 << 20, 1 << 22, 1 << 12, 1 << 16, 1 << 22
+BLOCK, LONG, WORDS, PACKED, SENT = 16 << 20, 1 << 22, 1 << 12, 1 << 16, 1 << 22
 #: Characters of texts for a task that folds words. Each task gets a copy of the ranks, some 100,000 objects, so fewer tasks cost less.
 FOLDED = 16 << 20
 #: Rows of texts that go to a task that cuts at once: a batch is held by the JVM, on its way and in Python.
@@ -298,15 +298,15 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _unpacked(answers: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(places, numbers of ids, ids) of all answers of a block."""
-    decoder, found = zstandard.ZstdDecompressor(), [(np.zeros(0, np.int64),) * 3]
+    decoder, found = zstandard.ZstdDecompressor(), [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4"))]
 
     def numbers(raw: bytes) -> np.ndarray:
-        return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+        return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
     for answer in answers:
         raw = decoder.decompress(answer)
         n = 4 * int(numbers(raw[:4])[0])
-        found.append((np.cumsum(numbers(raw[4 : 4 + n])), numbers(raw[4 + n : 4 + 2 * n]), numbers(raw[4 + 2 * n :])))
+        found.append((np.cumsum(numbers(raw[4 : 4 + n]), dtype=np.int64), numbers(raw[4 + n : 4 + 2 * n]).astype(np.int64), numbers(raw[4 + 2 * n :])))
     return tuple(np.concatenate([x[i] for x in found]) for i in range(3))
 
 
