@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodstream.streaming.folders import written
+from moodstream.streaming.folders import release, written
 
 #: Words kept in a task before its summaries are given out.
 HELD = 1 << 18
@@ -121,6 +121,14 @@ def bounds(parts: DataFrame, by: list[str]) -> DataFrame:
     return joined.select(*by, "word", "lower", (F.col("lower") + F.col("slack")).alias("upper"))
 
 
+def holds(batches: int, parts_of: int) -> bool:
+    """Whether a task can hold the summaries of so many batches, so that `heavy_words` need not have its words dealt out by batch.
+
+    A summary has twice its size of words before it is pruned.
+    """
+    return batches * 4 * parts_of <= HELD
+
+
 def heavy_words(words: DataFrame, parts_of: int, by: str = "batch_ts", copies: str = "cnt") -> DataFrame:
     """(by, word, cnt): words that make up at least one of `parts_of` parts of a batch's words, with exact counts.
 
@@ -131,6 +139,7 @@ def heavy_words(words: DataFrame, parts_of: int, by: str = "batch_ts", copies: s
     totals = parts.groupBy(by).agg(F.sum("total").alias("total"))
     found = bounds(parts, [by]).join(totals, by)
     candidates = written(found.filter(F.col("upper") * parts_of >= F.col("total")).select(by, "word", "total"), "candidates")
+    release(words.sparkSession)  # what the first reading has left
     if candidates.count() <= FEW:
         candidates = F.broadcast(candidates)
     exact = words.join(candidates, [by, "word"]).groupBy(by, "word").agg(F.sum(copies).alias("cnt"), F.first("total").alias("total"))

@@ -14,6 +14,7 @@ from moodstream.operators.filters import keep_messages
 from moodstream.sources.readers import table
 
 BATCH = "1 hour"
+MESSAGES = 25_000  # events of the table for each task that makes their messages
 
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,9 +80,17 @@ def copies(spark: SparkSession, folder: str, since: Column | None = None) -> Dat
     )
 
 
-def arrived_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """(batch_ts, copies, text) of the whole history: a text once for each batch it arrived in."""
-    return copies(spark, folder).join(texts(spark, folder), "doc_id").select("batch_ts", "copies", "text")
+def message_tasks(spark: SparkSession, folder: str) -> int:
+    """Tasks among which the messages of all events are dealt out."""
+    return max(2 * spark.sparkContext.defaultParallelism, table(spark, folder, "events").count() // MESSAGES)
+
+
+def arrived_texts(spark: SparkSession, folder: str, tasks: int | None = None) -> DataFrame:
+    """(batch_ts, copies, text) of the whole history: a text once for each batch it arrived in. With `tasks`, dealt out by document to so many."""
+    carried = texts(spark, folder)
+    if tasks is not None:
+        carried = carried.repartition(tasks, "doc_id")
+    return copies(spark, folder).join(carried, "doc_id").select("batch_ts", "copies", "text")
 
 
 def newest_copies(spark: SparkSession, folder: str, n: int, having: Column) -> DataFrame:

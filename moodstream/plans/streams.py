@@ -5,7 +5,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodstream.plans.messages import BATCH, STREAM_SQL, tokens_sql
+from moodstream.plans.messages import BATCH, STREAM_SQL, message_tasks, tokens_sql
 from moodstream.plans.registry import query
 from moodstream.plans.sentiment import HISTORY_SQL, MODEL, scored_sql
 from moodstream.plans.serving import SHOWN, recent_per_window_sql
@@ -24,7 +24,6 @@ from moodstream.streaming.tables import (
 )
 
 CHUNKS = 4  # files of the streams that take several micro-batches
-MESSAGES = 25_000  # events of the table for each task that makes their messages
 GROUP = 4 << 20  # bytes of a row group in the files that a stream reads: a row group is read by one task
 
 
@@ -37,7 +36,7 @@ def payload_stream(spark: SparkSession, folder: str, files: str | None = None, m
     path = f"{folder}/events.parquet"
     documents = table(spark, folder, "documents")
     total = documents.count()
-    tasks = max(2 * spark.sparkContext.defaultParallelism, table(spark, folder, "events").count() // MESSAGES)
+    tasks = message_tasks(spark, folder)
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)

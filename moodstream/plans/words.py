@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from moodstream.functions.text import feature_tokens, tokens
 from moodstream.operators.features import build_vocabulary, join_vocabulary
 from moodstream.operators.features import term_frequency as term_frequency_of
-from moodstream.operators.heavy import heavy_words
+from moodstream.operators.heavy import heavy_words, holds
 from moodstream.operators.words import (
     as_wide_rows,
     by_batch,
@@ -19,8 +19,10 @@ from moodstream.operators.words import (
 from moodstream.plans.messages import (
     ENGLISH_SQL,
     STREAM_SQL,
+    arrivals,
     arrived_texts,
     english,
+    message_tasks,
     messages,
     newest_word_copies,
     placeholders_sql,
@@ -229,6 +231,14 @@ PARTS = 50  # a heavy word makes up a fiftieth of its batch
     """
 )
 def heavy_words_by_window(spark: SparkSession, folder: str) -> DataFrame:
-    """Words that make up a fiftieth of an hour's words, found by summaries."""
-    words = explode_words(by_batch(arrived_texts(spark, folder)), ["batch_ts", "copies"])
-    return heavy_words(words, PARTS, copies="copies")
+    """Words that make up a fiftieth of an hour's words, found by summaries.
+
+    Summaries of any tasks add up, so as long as a task can hold those of all batches, texts are taken apart where they met their arrivals. Of a longer history
+    they travel on to their batches, each once for every batch it arrived in, which is many times the documents.
+    """
+    batches = arrivals(spark, folder).select("batch_ts").distinct().count()
+    if holds(batches, PARTS):
+        arrived = arrived_texts(spark, folder, message_tasks(spark, folder))
+    else:
+        arrived = by_batch(arrived_texts(spark, folder))
+    return heavy_words(explode_words(arrived, ["batch_ts", "copies"]), PARTS, copies="copies")

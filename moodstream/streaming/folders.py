@@ -1,6 +1,8 @@
 """Where jobs keep checkpoints and tables."""
 
+import gc
 import tempfile
+import time
 import uuid
 from functools import cache
 
@@ -29,6 +31,22 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+#: Seconds between two clean-ups at least.
+PAUSE = 10.0
+_cleaned = {"at": float("-inf")}
+
+
+def release(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files that ended jobs have left.
+
+    They go when the driver's JVM finds that nothing refers to them, and a driver with little to do may not look for half an hour.
+    """
+    if time.monotonic() - _cleaned["at"] >= PAUSE:
+        gc.collect()  # what Python holds, the JVM holds
+        spark.sparkContext._jvm.System.gc()
+        _cleaned["at"] = time.monotonic()
+
+
 def written(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame as a table in the shared folder, for a small result of much work that is read twice."""
     path = new_folder(frame.sparkSession, purpose)
