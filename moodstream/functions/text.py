@@ -44,11 +44,15 @@ def with_placeholders(
         LINK_PATTERN,
     ):
         return replaced
-    # A text without any of these marks cannot match; looking for bytes is far cheaper than matching.
+    return F.when(has_marks(text), replaced).otherwise(text)
+
+
+def has_marks(text: Column) -> Column:
+    """Whether a text may hold message markup: one without these marks cannot match the default patterns. Looking for bytes is far cheaper than matching."""
     marked = F.lit(False)
     for mark in ("@", "#", "rt:", "http"):
         marked = marked | F.contains(text, F.lit(mark))
-    return F.when(marked, replaced).otherwise(text)
+    return marked
 
 
 def tokens(text: Column, word: str = WORD_PATTERN) -> Column:
@@ -56,9 +60,14 @@ def tokens(text: Column, word: str = WORD_PATTERN) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(word), F.lit(0))
 
 
-def feature_tokens(text: Column) -> Column:
-    """Tokens the model sees: placeholders first, unlike the raw word count."""
-    return tokens(with_placeholders(text))
+def feature_tokens(text: Column, raw: Column | None = None) -> Column:
+    """Tokens the model sees: placeholders first, unlike the raw word count.
+
+    `raw`: the text's own tokens, where they are known; those of a text without markup are the same.
+    """
+    if raw is None:
+        return tokens(with_placeholders(text))
+    return F.when(has_marks(text), tokens(with_placeholders(text))).otherwise(raw)
 
 
 def has_token(text: Column, word: str = WORD_PATTERN) -> Column:

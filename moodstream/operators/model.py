@@ -73,9 +73,9 @@ def decision(score: Column) -> Column:
     return F.when(score > 0, 1).otherwise(0)
 
 
-def score_messages(messages: DataFrame, model: LinearModel) -> DataFrame:
-    """Add `margin` and `prediction`."""
-    scored = messages.withColumn("margin", margin(feature_tokens(F.col("text")), model))
+def score_messages(messages: DataFrame, model: LinearModel, raw: Column | None = None) -> DataFrame:
+    """Add `margin` and `prediction`. `raw`: the tokens of the texts, where they are known."""
+    scored = messages.withColumn("margin", margin(feature_tokens(F.col("text"), raw), model))
     return scored.withColumn("prediction", decision(F.col("margin")))
 
 

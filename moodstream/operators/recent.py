@@ -1,5 +1,7 @@
 """Recent messages."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ def newest_first() -> list[Column]:
     return [F.desc("event_ts"), F.desc("id")]
 
 
-def recent_per_batch(texts: DataFrame, k: int = 5, by: str = "batch_ts") -> DataFrame:
+def recent_per_batch(texts: DataFrame, k: int = 5, by: str | Sequence[str] = "batch_ts") -> DataFrame:
     """k newest messages of every batch."""
     return top_per_group(texts, by, newest_first(), k)
 

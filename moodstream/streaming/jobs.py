@@ -10,14 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from moodstream.functions.clock import window_start
+from moodstream.functions.text import tokens
 from moodstream.operators.model import LinearModel, score_messages
 from moodstream.operators.recent import recent_per_batch
 from moodstream.operators.sentiment import count_predictions, sentiment_history
 from moodstream.operators.words import by_batch, count_words, explode_words, top_words
-from moodstream.streaming.tables import SHOWN, TOP, Closing, ServingTables, add_batch, run_of
+from moodstream.streaming.folders import release
+from moodstream.streaming.tables import SHOWN, TOP, Closing, Outputs, ServingTables, add_batch, run_of
 
 OUTPUTS = ("words", "recent_text", "sentiment")
 
+#: Stand among the words for a message of a class. No word has their first sign.
+CLASSES = ("-0", "-1")
+
 
 def trigger_options(every: str | None) -> dict:
     """A processing-time trigger, or with None one that ends when all available input is done."""
@@ -31,24 +36,48 @@ def windowed_words(messages: DataFrame, window: str) -> DataFrame:
 
 
 def windowed_sentiment(messages: DataFrame, model: LinearModel, window: str) -> DataFrame:
-    """(batch_ts, negative, positive) per window."""
-    history = sentiment_history(score_messages(messages, model), F.window("event_ts", window).alias("w"))
+    """(batch_ts, negative, positive) per window, of messages that may have their `prediction` already."""
+    scored = messages if "prediction" in messages.columns else score_messages(messages, model)
+    history = sentiment_history(scored, F.window("event_ts", window).alias("w"))
     return history.select(F.col("w.start").alias("batch_ts"), "negative", "positive")
 
 
-def window_outputs(model: LinearModel, window: str, outputs: tuple[str, ...] = OUTPUTS, shown: int = SHOWN):
+def windowed_both(messages: DataFrame, model: LinearModel, window: str) -> DataFrame:
+    """(batch_ts, word, cnt) per window, where a message also has the one of CLASSES it is predicted to be in: texts are taken apart once for both."""
+    placed = messages.select(window_start(F.col("event_ts"), window).alias("batch_ts"), "text")
+    raw = by_batch(placed).withColumn("raw", F.coalesce(tokens(F.col("text")), F.array().cast("array<string>")))
+    scored = score_messages(raw, model, F.col("raw"))
+    predicted = F.when(F.col("prediction") == 0, CLASSES[0]).otherwise(CLASSES[1])
+    return count_words(explode_words(scored, ["batch_ts"], F.concat("raw", F.array(predicted))), ["batch_ts"])
+
+
+class WindowOutputs:
     """What a micro-batch adds to its windows, by table."""
 
-    def frames(messages: DataFrame) -> dict[str, DataFrame]:
-        batched = messages.withColumn("batch_ts", window_start(F.col("event_ts"), window))
+    def __init__(self, model: LinearModel, window: str, outputs: tuple[str, ...], shown: int):
+        self.model, self.window, self.outputs, self.shown = model, window, outputs, shown
+
+    def __call__(self, messages: DataFrame) -> dict[str, DataFrame]:
+        batched = messages.withColumn("batch_ts", window_start(F.col("event_ts"), self.window))
         made = {
-            "words": lambda: windowed_words(messages, window),
-            "recent_text": lambda: recent_per_batch(batched, shown),
-            "sentiment": lambda: windowed_sentiment(messages, model, window),
+            "words": lambda: windowed_words(messages, self.window),
+            "recent_text": lambda: recent_per_batch(batched, self.shown),
+            "sentiment": lambda: windowed_sentiment(messages, self.model, self.window),
         }
-        return {name: made[name]() for name in outputs}
-
-    return frames
+        kept = []
+        if {"words", "sentiment"} <= set(self.outputs):
+            both = windowed_both(messages, self.model, self.window).persist()
+            kept.append(both)
+            named = F.col("word").isin(*CLASSES)
+            classes = both.filter(named).select("batch_ts", F.when(F.col("word") == CLASSES[0], 0).otherwise(1).alias("prediction"), "cnt")
+            made["words"] = lambda: both.filter(~named)
+            made["sentiment"] = lambda: sentiment_history(classes, copies=F.col("cnt"))
+        return Outputs({name: made[name]() for name in self.outputs}, kept)
+
+
+def window_outputs(model: LinearModel, window: str, outputs: tuple[str, ...] = OUTPUTS, shown: int = SHOWN) -> WindowOutputs:
+    """What a micro-batch adds to its windows, by table."""
+    return WindowOutputs(model, window, tuple(outputs), shown)
 
 
 def micro_batch_outputs(model: LinearModel, epoch: int, show: bool = False):
@@ -82,12 +111,8 @@ def _writer(outputs_of, tables: ServingTables, run: str, closing: Closing | None
     """
 
     def write(messages: DataFrame, epoch: int) -> None:
-        messages = messages.persist()
-        try:
-            if messages.count():  # reads all of it, as state above needs, also where the micro-batch is known already
-                add_batch(messages, tables, run, epoch, outputs_of(epoch), closing=closing)
-        finally:
-            messages.unpersist()
+        release(messages.sparkSession)  # of the micro-batches before, else the disks fill up with the texts of all
+        add_batch(messages, tables, run, epoch, outputs_of(epoch), closing=closing, streamed=True)
 
     return write
 

@@ -26,6 +26,7 @@ from moodstream.functions.clock import window_start
 from moodstream.operators.recent import recent_per_batch
 from moodstream.operators.words import newest_batches, top_words
 from moodstream.schemas import COVERED, RECENT_TEXT, SEEN, SENTIMENT_HISTORY, WORD_COUNTS
+from moodstream.streaming.folders import release
 from moodstream.streaming.log import Conflict, Log, Part, State, newest_cut
 
 TOP = 100  # words kept per batch
@@ -200,6 +201,14 @@ class Closing:
         return _written(tables, {"words": top_words(summed, top)}, "closed"), gone
 
 
+class Outputs(dict):
+    """Frames by table, and the frames behind them that are kept until these are written."""
+
+    def __init__(self, frames: dict[str, DataFrame], kept: list[DataFrame]):
+        super().__init__(frames)
+        self.kept = kept
+
+
 def add_batch(
     messages: DataFrame,
     tables: ServingTables,
@@ -208,32 +217,47 @@ def add_batch(
     outputs: Callable[[DataFrame], dict[str, DataFrame]],
     top: int = TOP,
     closing: Closing | None = None,
+    streamed: bool = False,
 ) -> bool:
-    """Write what the messages of a micro-batch add and commit it; False if that has been done before.
+    """Write what the messages of a micro-batch add and commit it; False if that has been done before, or, if they are `streamed`, if there are none.
 
     `outputs` makes the frames of the tables from the messages that count. With `closing`, those are the messages that are in time, and closed windows are written too.
+    The messages that count are kept while the outputs are made, or what `outputs.narrowed` makes of them.
     """
     spark = messages.sparkSession
     log = Log(spark, tables.folder)
+    narrowed = getattr(outputs, "narrowed", lambda frame: frame)
     for _ in range(ATTEMPTS):
         state = log.state()
         if state.epochs.get(run, -1) >= epoch:
+            if streamed:
+                messages.count()  # all of it is read, as state above needs, also where it is known already
             return False
-        counted = uncovered(messages, tables, state, run)
-        frames = outputs(counted if closing is None else closing.in_time(counted, state))
-        if closing is not None:
-            frames["seen"] = closing.newest(counted, state)
-        if "source" in messages.columns:
-            frames["covered"] = ranges_of(counted, run)
-        parts = _written(tables, frames, f"{run}-{epoch:012d}")
-        done, over = ([], []) if closing is None else closing.closed(spark, tables, state, parts, top)
-        parts += done
-        latest, old = _snapshot(spark, tables, state, [x for x in parts if x.table == "words"], top)
-        replaced = [*over, *old]
+        counted = narrowed(uncovered(messages, tables, state, run)).persist()
+        kept = [counted]
+        try:
+            parts, replaced = [], []
+            if counted.count():
+                frames = outputs(counted if closing is None else closing.in_time(counted, state))
+                kept += getattr(frames, "kept", [])
+                if closing is not None:
+                    frames["seen"] = closing.newest(counted, state)
+                if "source" in messages.columns:
+                    frames["covered"] = ranges_of(counted, run)
+                parts = _written(tables, frames, f"{run}-{epoch:012d}")
+                done, over = ([], []) if closing is None else closing.closed(spark, tables, state, parts, top)
+                parts += done
+                latest, old = _snapshot(spark, tables, state, [x for x in parts if x.table == "words"], top)
+                parts, replaced = [*parts, *latest], [*over, *old]
+            elif streamed and (not set(state.epochs) - {run} or messages.isEmpty()):
+                return False
+        finally:
+            for frame in kept:
+                frame.unpersist()
         others = {k: v for k, v in state.epochs.items() if k != run}
         while True:
             try:
-                log.commit(state, [*parts, *latest], replaced, {run: epoch})
+                log.commit(state, parts, replaced, {run: epoch})
                 return True
             except Conflict:
                 state = log.state()
@@ -283,12 +307,12 @@ def read_recent_text(spark: SparkSession, tables: ServingTables, k: int = SHOWN,
     return recent_per_batch(read_parts(spark, tables, "recent_text", newest), k)
 
 
-#: How parts become one part that readers can't tell from them.
-MERGED: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "words": lambda rows: rows.groupBy("batch_ts", "word").agg(F.sum("cnt").alias("cnt")),
-    "open": lambda rows: rows.groupBy("batch_ts", "word").agg(F.sum("cnt").alias("cnt")),
-    "sentiment": lambda rows: rows.groupBy("batch_ts").agg(F.sum("negative").alias("negative"), F.sum("positive").alias("positive")),
-    "recent_text": lambda rows: recent_per_batch(rows, SHOWN),
+#: How parts become one part that readers can't tell from them; `by`: what a batch also has in common.
+MERGED: dict[str, Callable[..., DataFrame]] = {
+    "words": lambda rows, *by: rows.groupBy("batch_ts", "word", *by).agg(F.sum("cnt").alias("cnt")),
+    "open": lambda rows, *by: rows.groupBy("batch_ts", "word", *by).agg(F.sum("cnt").alias("cnt")),
+    "sentiment": lambda rows, *by: rows.groupBy("batch_ts", *by).agg(F.sum("negative").alias("negative"), F.sum("positive").alias("positive")),
+    "recent_text": lambda rows, *by: recent_per_batch(rows, SHOWN, ["batch_ts", *by]),
     "covered": lambda rows: rows.groupBy("run", "stream", "part").agg(F.min("first").alias("first"), F.max("last").alias("last")),
 }
 
@@ -299,6 +323,7 @@ def compact(spark: SparkSession, tables: ServingTables, period: int = 3600, leas
     A period is closed if it ends before the newest batch. Parts that reach into an open one wait. A part that comes later for a closed period is merged
     the next time. Periods with one part that lies within them are left alone. `covered` becomes one part.
     """
+    release(spark)  # of the micro-batches before
     log = Log(spark, tables.folder)
     state, width = log.state(), period * 1_000_000
     times = [x.last for x in state.parts.values() if x.table not in ("covered", "seen")]
@@ -319,14 +344,15 @@ def compact(spark: SparkSession, tables: ServingTables, period: int = 3600, leas
             chosen = [x for x in parts if x.first // width != x.last // width or len(alone[x.first // width]) >= least]
         if not chosen:
             continue
-        rows = merged(_read(spark, tables, name, chosen))
+        rows = _read(spark, tables, name, chosen)
         gone += [x.path for x in chosen]
         if name == "covered":
-            add += _written(tables, {name: rows.coalesce(1)}, "compact")
+            add += _written(tables, {name: merged(rows).coalesce(1)}, "compact")
             continue
         mark = f"{name}/compact-{uuid.uuid4().hex[:12]}"
         at = F.floor(F.unix_micros("batch_ts") / width).cast("bigint")
-        rows = rows.withColumn("period", at).repartition("period")
+        # Dealt out by period before they are merged: they are sent once, where merging by batch and word would send them again.
+        rows = merged(rows.withColumn("period", at).repartition("period"), "period")
         rows.write.partitionBy("period").parquet(f"{tables.folder}/{mark}")
         typed = T.StructType([*SCHEMAS[name].fields, T.StructField("period", T.LongType())])
         back = spark.read.schema(typed).parquet(f"{tables.folder}/{mark}").select("period", F.unix_micros("batch_ts").alias("t"))
