@@ -23,6 +23,14 @@ OUTPUTS = ("words", "recent_text", "sentiment")
 #: Stand among the words for a message of a class. No word has their first sign.
 CLASSES = ("-0", "-1")
 
+#: State is kept by RocksDB on the executors' disks, in so many MB of an executor at most: on the heap it would grow with the ids of all messages.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def trigger_options(every: str | None) -> dict:
     """A processing-time trigger, or with None one that ends when all available input is done."""
@@ -57,6 +65,13 @@ class WindowOutputs:
     def __init__(self, model: LinearModel, window: str, outputs: tuple[str, ...], shown: int):
         self.model, self.window, self.outputs, self.shown = model, window, outputs, shown
 
+    def narrowed(self, messages: DataFrame) -> DataFrame:
+        """What is kept of messages while the outputs are made. Where only their predictions are asked for, that is no text."""
+        if self.outputs != ("sentiment",):
+            return messages
+        source = ["source"] if "source" in messages.columns else []
+        return score_messages(messages, self.model).select(*source, "event_ts", "prediction")
+
     def __call__(self, messages: DataFrame) -> dict[str, DataFrame]:
         batched = messages.withColumn("batch_ts", window_start(F.col("event_ts"), self.window))
         made = {
@@ -168,13 +183,22 @@ def start_final_words(
 
 
 def _started(messages: DataFrame, write, checkpoint: str, name: str, every: str | None) -> StreamingQuery:
-    return (
-        messages.writeStream.option("checkpointLocation", checkpoint)
-        .queryName(name)
-        .foreachBatch(write)
-        .trigger(**trigger_options(every))
-        .start()
-    )
+    """Start a query; it takes the settings of its state along from the session. A checkpoint that another store has begun goes on with that one."""
+    conf = messages.sparkSession.conf
+    before = {key: conf.get(key, None) for key in STATE}
+    try:
+        for key, value in STATE.items():
+            conf.set(key, value)
+        return (
+            messages.writeStream.option("checkpointLocation", checkpoint)
+            .queryName(name)
+            .foreachBatch(write)
+            .trigger(**trigger_options(every))
+            .start()
+        )
+    finally:
+        for key, value in before.items():
+            conf.unset(key) if value is None else conf.set(key, value)
 
 
 def start_console(history: DataFrame, every: str | None = "1 second") -> StreamingQuery:

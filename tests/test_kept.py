@@ -2,12 +2,15 @@
 
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from moodstream.operators.model import LinearModel
 from moodstream.streaming import folders, jobs
 from moodstream.streaming import tables as serving
-from moodstream.streaming.jobs import window_outputs, windowed_sentiment, windowed_words
+from moodstream.streaming.jobs import start_windows, window_outputs, windowed_sentiment, windowed_words
 from moodstream.streaming.log import Log
-from moodstream.streaming.tables import ServingTables, add_batch, compact
+from moodstream.streaming.sources import delivered_once
+from moodstream.streaming.tables import ServingTables, add_batch, compact, read_sentiment
 
 MODEL = LinearModel({"good": 1.0, "pseudoplaceholder": 2.0, "bad": -1.0})
 ROW = (
@@ -38,6 +41,14 @@ def test_words_and_classes_are_counted_together(spark):
         frame.unpersist()
 
 
+def test_sentiment_alone_keeps_no_text(spark):
+    given = messages(spark, range(60))
+    outputs = window_outputs(MODEL, "1 hour", ("sentiment",))
+    narrow = outputs.narrowed(given)
+    assert narrow.columns == ["source", "event_ts", "prediction"]
+    assert sorted(outputs(narrow)["sentiment"].collect()) == sorted(windowed_sentiment(given, MODEL, "1 hour").collect())
+
+
 def test_nothing_is_written_of_what_is_covered(spark, tmp_path):
     tables = ServingTables(str(tmp_path / "tables"))
     log, hourly = Log(spark, tables.folder), window_outputs(MODEL, "1 hour")
@@ -66,3 +77,18 @@ def test_a_micro_batch_begins_with_a_clean_up(spark, tmp_path, monkeypatch):
     monkeypatch.setitem(folders._cleaned, "at", float("-inf"))
     compact(spark, ServingTables(str(tmp_path)))
     assert len(done) == 2
+
+
+def test_state_is_not_on_the_heap(spark, tmp_path):
+    """Ids of deliveries are kept by RocksDB; the session's settings stay as they are."""
+    path, tables = str(tmp_path / "deliveries"), ServingTables(str(tmp_path / "tables"))
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    messages(spark, [0, 1, 2, 3]).union(messages(spark, [2, 3, 4])).filter(F.col("arrived_at").isNotNull()).write.parquet(path)
+    stream = spark.readStream.schema(ROW).parquet(path)
+    [job] = start_windows(delivered_once(stream, "60 days"), MODEL, tables, "1 hour", None, outputs=("sentiment",))
+    jobs.await_all([job])
+    operators = [x for p in job.recentProgress for x in p.stateOperators]
+    assert operators and all(any(k.startswith("rocksdb") for k in x.customMetrics) for x in operators)
+    assert read_sentiment(spark, tables).agg(F.sum("positive") + F.sum("negative")).first()[0] == 5
+    assert spark.conf.get(name) == before
